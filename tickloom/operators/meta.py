@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import whole_seconds
 from ..schema import SERIES
 
 
@@ -68,23 +69,25 @@ def work_items(tickers: DataFrame, bars_property: DataFrame) -> DataFrame:
     )
 
 
-def resume_points(items: DataFrame, bars: DataFrame, ticks: DataFrame) -> DataFrame:
-    """Where the bar build of each work item goes on: after its last bar, else at its first tick,
-    else at its last tick, else at 0; and how far behind the newest tick that is."""
-    edges = ticks.groupBy("ticker_id").agg(
-        F.min_by("db_tsunx", F.struct("ddate", "ts", "db_tsunx")).alias("first_ts"),
-        F.max_by("db_tsunx", F.struct("ddate", "ts", "db_tsunx")).alias("last_tick_ts"),
+def tick_edges(ticks: DataFrame) -> DataFrame:
+    """First and newest tick time of each instrument, by (ddate, ts, db_tsunx)."""
+    at = F.struct("ddate", "ts", "db_tsunx")
+    return ticks.groupBy("ticker_id").agg(
+        F.min_by("db_tsunx", at).alias("first_ts"), F.max_by("db_tsunx", at).alias("last_tick_ts")
     )
+
+
+def resume_points(items: DataFrame, newest_bars: DataFrame, edges: DataFrame) -> DataFrame:
+    """Where the bar build of each work item goes on: after its last bar, else at its first tick,
+    else at its last tick, else at 0; and how many seconds behind the newest tick that is.
+
+    ``newest_bars`` is ``last_bars(...)``, ``edges`` is ``tick_edges(...)``.
+    """
     begin = F.coalesce("last_bar_ts_end", "first_ts", "last_tick_ts", F.lit(0))
+    newest = F.coalesce("last_tick_ts", F.lit(0))
     return (
-        items.join(last_bars(bars).drop("last_bar_ddate"), SERIES, "left")
+        items.join(newest_bars.select(*SERIES, "last_bar_ts_end"), SERIES, "left")
         .join(edges, "ticker_id", "left")
         .withColumn("begin_from", begin)
-        .withColumn(
-            "lag_sec",
-            (
-                F.floor(F.coalesce("last_tick_ts", F.lit(0)) / 1000)
-                - F.floor(F.col("begin_from") / 1000)
-            ),
-        )
+        .withColumn("lag_sec", whole_seconds(newest) - whole_seconds(F.col("begin_from")))
     )
