@@ -3,6 +3,8 @@
 Built from named common table expressions; each function returns a list of (name, text).
 """
 
+import re
+
 SPARSE_W, DENSE_W = 86_400, 14_400
 WIDTHS = (43_200, 86_400)
 PS = (0.05, 0.5)
@@ -10,6 +12,7 @@ DEEP, KOEFF = 6, 2
 LAGS = (1, 2, 4)
 SPLIT_DAY = "2024-01-15"
 STEP_MS = 5 * 86_400_000
+BEGIN_MS, END_MS = 1_704_434_400_000, 1_705_084_200_000  # 2024-01-05 06:00 .. 01-12 18:30
 
 
 def query(ctes, final):
@@ -134,8 +137,8 @@ def hits(source="bars"):
         ),
         (
             "targets",
-            f"SELECT numbered.*, p AS log_oe, {r('exp(ln(c) + p)', 4)} AS up, "
-            f"{r('exp(ln(c) - p)', 4)} AS down FROM numbered, (VALUES {values}) v(p)",
+            f"SELECT n.*, p AS log_oe, {r('exp(ln(c) + p)', 4)} AS up, "
+            f"{r('exp(ln(c) - p)', 4)} AS down FROM numbered n, (VALUES {values}) v(p)",
         ),
         (
             "hit_seq",
@@ -316,3 +319,358 @@ def forms(mapping="dense", width=DENSE_W, deep=DEEP, lags=LAGS):
             f"k.ts_end - f.ts_begin >= 1000 * {deep - 1} * bar_width_sec::BIGINT",
         ),
     ]
+
+
+def earlier(mapping="sparse", width=SPARSE_W):
+    """State of an incremental build that stopped at the split day."""
+    return [
+        *ticks(mapping),
+        all_items(width),
+        ("old_ticks", f"SELECT * FROM ticks WHERE ddate <= DATE '{SPLIT_DAY}'"),
+        (
+            "old_grids",
+            "SELECT * FROM items JOIN (SELECT ticker_id, min(db_tsunx) AS t_first, "
+            "max(db_tsunx) AS t_last FROM old_ticks GROUP BY 1) USING (ticker_id)",
+        ),
+        *bars_on_grid("old", "old_grids", "old_ticks"),
+        (
+            "edges",
+            "SELECT ticker_id, arg_min(db_tsunx, (ddate, ts, db_tsunx)) AS first_ts, "
+            "arg_max(db_tsunx, (ddate, ts, db_tsunx)) AS last_tick_ts FROM ticks GROUP BY 1",
+        ),
+        (
+            "newest",
+            "SELECT ticker_id, bar_width_sec, arg_max(ts_end, (ddate, ts_end)) "
+            "AS last_bar_ts_end FROM old GROUP BY 1, 2",
+        ),
+        (
+            "points",
+            "SELECT *, last_tick_ts // 1000 - begin_from // 1000 AS lag_sec FROM (SELECT "
+            "i.ticker_id, i.bar_width_sec, last_bar_ts_end, first_ts, last_tick_ts, "
+            "coalesce(last_bar_ts_end, first_ts, last_tick_ts, 0) AS begin_from FROM items i "
+            "LEFT JOIN newest USING (ticker_id, bar_width_sec) LEFT JOIN edges USING (ticker_id))",
+        ),
+        (
+            "started",
+            "SELECT p.*, (SELECT min(db_tsunx) FROM ticks t WHERE t.ticker_id = p.ticker_id AND "
+            "t.db_tsunx >= p.begin_from) AS first_read FROM points p",
+        ),
+        (
+            "spanned",
+            "SELECT s.*, (SELECT min(db_tsunx) FROM ticks t WHERE t.ticker_id = s.ticker_id AND "
+            "t.db_tsunx >= coalesce(s.first_read, s.begin_from) + s.bar_width_sec::BIGINT * 1000)"
+            f" AS span_at, least(begin_from + {STEP_MS}, last_tick_ts) AS planned FROM started s",
+        ),
+        (
+            "windows",
+            "SELECT ticker_id, bar_width_sec, begin_from, first_read, CAST(planned + "
+            f"ceil(greatest(coalesce(span_at, last_tick_ts) - planned, 0) / {STEP_MS}) * {STEP_MS}"
+            " AS BIGINT) AS read_to FROM spanned",
+        ),
+    ]
+
+
+def resumed():
+    return [
+        *earlier(),
+        (
+            "grids",
+            "SELECT w.ticker_id, w.bar_width_sec, min(db_tsunx) AS t_first, max(db_tsunx) "
+            "AS t_last FROM windows w JOIN ticks t ON t.ticker_id = w.ticker_id AND t.db_tsunx "
+            "BETWEEN w.begin_from AND w.read_to GROUP BY 1, 2",
+        ),
+        *bars_on_grid(),
+    ]
+
+
+def form_marks():
+    return [
+        *forms(),
+        ("early", f"SELECT * FROM forms WHERE ddate <= DATE '{SPLIT_DAY}'"),
+        (
+            "per_key",
+            "SELECT ticker_id, bar_width_sec, log_oe, res_type, max(ddate) AS d, "
+            "max(ts_end) AS t FROM early GROUP BY ALL",
+        ),
+        (
+            "per_way",
+            "SELECT ticker_id, bar_width_sec, res_type, arg_min(d, (t, d)) AS d, min(t) AS t "
+            "FROM per_key GROUP BY ALL",
+        ),
+        (
+            "per_series",
+            "SELECT ticker_id, bar_width_sec, count(*) AS ways, arg_min(d, (t, d)) AS d, "
+            "min(t) AS t FROM per_way GROUP BY ALL",
+        ),
+        (
+            "marks",
+            "SELECT s.ticker_id, s.bar_width_sec, CASE WHEN ways = 2 THEN d END AS mark_ddate, "
+            "CASE WHEN ways = 2 THEN t END AS mark_ts FROM (SELECT DISTINCT ticker_id, "
+            "bar_width_sec FROM fa) s LEFT JOIN per_series USING (ticker_id, bar_width_sec)",
+        ),
+    ]
+
+
+def labelled(columns, mx=1, mn=2, other=3):
+    code = "frmconfpeak"
+    return (
+        "labelled",
+        f"SELECT CAST(CASE res_type WHEN 'mx' THEN {mx} WHEN 'mn' THEN {mn} ELSE {other} END "
+        f"AS DOUBLE) AS label, {columns}, round({code} / 100) AS f1, "
+        f"round(({code} - round({code} / 100) * 100) / 10) AS f2, {code} % 10 AS f3 FROM forms",
+    )
+
+
+FEATURES = "frmconfpeak, sps, sms, tcvolprofile, acf_05_bws, acf_1_bws, acf_2_bws"
+MAJORITY = (
+    "majority",
+    "SELECT label, frmconfpeak, f1, f2, f3 FROM (SELECT label, frmconfpeak, f1, f2, f3, "
+    "count(*) AS cnt FROM labelled GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY "
+    "frmconfpeak ORDER BY cnt DESC, label) = 1",
+)
+SPARSE_FORMS = ("sparse", SPARSE_W)
+
+
+def _trend(way, level=0.9):
+    return (
+        f"SELECT frmconfpeak, count(*) AS cnt, '{way}' AS res_type FROM forms WHERE sps > sms "
+        f"AND res_type = '{way}' AND acf_05_bws > {level} AND acf_1_bws > {level} "
+        f"AND acf_2_bws > {level} "
+        "AND acf_05_bws > acf_1_bws AND acf_1_bws > acf_2_bws GROUP BY 1"
+    )
+
+
+def _rename(ctes, prefix):
+    """The same expressions under prefixed names, so that two chains fit in one statement."""
+    names = {n for n, _ in ctes}
+    only_tables = re.compile(r"\b(FROM|JOIN)\s+(\w+)")
+
+    def fix(text):
+        return only_tables.sub(
+            lambda m: f"{m[1]} {prefix}{m[2]}" if m[2] in names else m[0], text
+        )
+
+    return [(prefix + n, fix(t)) for n, t in ctes]
+
+
+def _key_feature(columns):
+    return query(features(), f"SELECT ticker_id, bar_width_sec, ts_end, {columns} FROM features")
+
+
+def oracle():
+    t, dense = ticks(), ticks("dense")
+    interval = f"db_tsunx BETWEEN {BEGIN_MS} AND {END_MS}"
+    form_columns = (
+        f"ticker_id, ddate, bar_width_sec, ts_begin, ts_end, log_oe, res_type, formdeepkoef, {PROPS}"
+    )
+    return {
+        "ticks_interval": query(t, f"SELECT * FROM ticks WHERE {interval}"),
+        "ticks_whole_days": query(
+            islands(),
+            "SELECT t.* FROM ticks t JOIN (SELECT ticker_id, min(ts_end) AS a, max(ts_end) AS b, "
+            "min(ddate) AS da, max(ddate) AS db FROM kept GROUP BY 1) k ON t.ticker_id = "
+            "k.ticker_id AND t.db_tsunx BETWEEN a AND b AND t.ddate BETWEEN da AND db",
+        ),
+        "ticks_for_form": query(
+            dense, f"SELECT * FROM ticks WHERE {interval} AND ddate <= DATE '2024-01-09'"
+        ),
+        "bars_of_keys": query(
+            bars(),
+            "SELECT * FROM bars QUALIFY ddate = max(ddate) OVER "
+            "(PARTITION BY ticker_id, bar_width_sec)",
+        ),
+        "enabled_widths": query(
+            [*t, bars_property()], "SELECT * FROM bars_property WHERE is_enabled = 1"
+        ),
+        "ticker_dictionary": query([TICKERS], "SELECT * FROM tickers"),
+        "tick_counts_day": query(
+            t, "SELECT ticker_id, ddate, count(*) AS ticks_count FROM ticks GROUP BY 1, 2"
+        ),
+        "tick_counts_total": query(
+            t, "SELECT ticker_id, count(*) AS ticks_count FROM ticks GROUP BY 1"
+        ),
+        "tick_counts_joined": query(
+            t,
+            "SELECT d.*, ticks_total FROM (SELECT ticker_id, ddate, count(*) AS ticks_count FROM "
+            "ticks GROUP BY 1, 2) d JOIN (SELECT ticker_id, count(*) AS ticks_total FROM ticks "
+            "GROUP BY 1) USING (ticker_id)",
+        ),
+        "ticks_total": query(t, "SELECT count(*) AS total FROM ticks"),
+        "form_keys": query(
+            forms(*SPARSE_FORMS), "SELECT DISTINCT ticker_id, bar_width_sec FROM forms"
+        ),
+        "connector_flag": "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) AS sval, "
+        "CASE WHEN o_totalprice > 65000 THEN 1 ELSE 0 END AS cntrlparam FROM orders "
+        "WHERE o_totalprice > 0",
+        "catalog_scan": query(
+            t, "SELECT ddate, count(*) AS cnt, max(ask) AS max_ask FROM ticks GROUP BY 1"
+        ),
+        "calendar_days": query(
+            t,
+            "SELECT ticker_id, CAST(unnest(generate_series(CAST(min(ddate) AS TIMESTAMP), "
+            "CAST(max(ddate) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS ddate FROM ticks "
+            "GROUP BY ticker_id",
+        ),
+        "first_tick": query(
+            t,
+            "SELECT ticker_id, min(ddate) AS first_ddate, arg_min(db_tsunx, (ddate, ts, "
+            "db_tsunx)) AS first_ts FROM ticks GROUP BY 1",
+        ),
+        "last_tick": query(
+            t,
+            "SELECT ticker_id, max(ddate) AS last_tick_ddate, arg_max(db_tsunx, (ddate, ts, "
+            "db_tsunx)) AS last_tick_ts FROM ticks GROUP BY 1",
+        ),
+        "last_bar": query(
+            bars(),
+            "SELECT ticker_id, bar_width_sec, max(ddate) AS last_bar_ddate, arg_max(ts_end, "
+            "(ddate, ts_end)) AS last_bar_ts_end FROM bars GROUP BY 1, 2",
+        ),
+        "bar_day_range": query(
+            bars(),
+            "SELECT ticker_id, bar_width_sec, min(ddate) AS min_ddate, max(ddate) AS max_ddate "
+            "FROM bars GROUP BY 1, 2",
+        ),
+        "outcome_days": query(
+            outcomes(), "SELECT DISTINCT ticker_id, bar_width_sec, ddate FROM fa"
+        ),
+        "outcome_key_counts": query(
+            outcomes(),
+            "SELECT count(*) AS row_cnt, count(DISTINCT ticker_id) AS tickers, count(DISTINCT "
+            "(ticker_id, bar_width_sec)) AS series, count(DISTINCT ddate) AS days FROM fa",
+        ),
+        "tickers_first_tick": query(
+            [*t, TICKERS],
+            "SELECT k.*, first_ddate, first_ts FROM tickers k LEFT JOIN (SELECT ticker_id, "
+            "min(ddate) AS first_ddate, arg_min(db_tsunx, (ddate, ts, db_tsunx)) AS first_ts "
+            "FROM ticks GROUP BY 1) USING (ticker_id)",
+        ),
+        "tickers_with_widths": query(
+            [*t, TICKERS, bars_property()],
+            "SELECT * FROM tickers WHERE ticker_id IN (SELECT ticker_id FROM bars_property)",
+        ),
+        "work_items": query(
+            [*t, TICKERS, bars_property(), ENABLED_ITEMS], "SELECT * FROM items"
+        ),
+        "bars_ohlc": query(bars(), "SELECT * FROM bars"),
+        "bars_ohlc_dense": query(bars("dense", 3600), "SELECT * FROM bars"),
+        "bars_ohlc_multi_width": query(
+            [*t, TICKERS, bars_property(), ENABLED_ITEMS, SPANS, GRIDS, *bars_on_grid()],
+            "SELECT * FROM bars",
+        ),
+        "bars_dates_summary": query(
+            bars(),
+            "SELECT ticker_id, bar_width_sec, ddate, count(*) AS cnt, min(ts_end) AS ts_end_min, "
+            "max(ts_end) AS ts_end_max FROM bars GROUP BY 1, 2, 3",
+        ),
+        "bars_stored": query(bars(), "SELECT * FROM bars"),
+        "bars_streamed": query(bars(), "SELECT * FROM bars"),
+        "resume_points": query(earlier(), "SELECT * FROM points"),
+        "read_windows": query(earlier(), "SELECT * FROM windows"),
+        "bars_resume_step": query(resumed(), "SELECT * FROM bars"),
+        "outcomes_first_hit": query([*bars(), *hits()], "SELECT * FROM hits"),
+        "outcomes_first_hit_dense": query(
+            [*bars("dense", DENSE_W), *hits()], "SELECT * FROM hits"
+        ),
+        "outcomes_resolved": query(outcomes(), "SELECT * FROM fa"),
+        "outcomes_by_type": query(
+            [*bars(), *hits()], "SELECT log_oe, res_type, count(*) AS cnt FROM hits GROUP BY 1, 2"
+        ),
+        "outcomes_resume": query(
+            outcomes(),
+            "SELECT b.* FROM bars b LEFT JOIN (SELECT ticker_id, bar_width_sec, max(ddate) AS d "
+            f"FROM fa WHERE ddate <= DATE '{SPLIT_DAY}' GROUP BY 1, 2) f USING (ticker_id, "
+            "bar_width_sec) WHERE d IS NULL OR ddate >= d",
+        ),
+        "outcomes_latest_day": query(
+            bars(),
+            "SELECT * FROM bars QUALIFY ddate = max(ddate) OVER "
+            "(PARTITION BY ticker_id, bar_width_sec)",
+        ),
+        "islands": query(islands(), "SELECT * FROM islands"),
+        "islands_last": query(islands(), "SELECT * FROM kept"),
+        "form_ticks": query(
+            form_ticks(),
+            "SELECT ticker_id, bar_width_sec, ts_end, ts, db_tsunx, ask, bid FROM ft",
+        ),
+        "form_features": query(features(), "SELECT * FROM features"),
+        "form_counts": _key_feature("tickscnt, ts_begin"),
+        "form_conf_peak": _key_feature("frmconfpeak"),
+        "form_price_peak": _key_feature("peak_price"),
+        "form_step_mass": _key_feature("sps, sms"),
+        "form_volume_profile": _key_feature("tcvolprofile"),
+        "form_acf": _key_feature("acf_05_bws, acf_1_bws, acf_2_bws"),
+        "forms_complete": query(forms(), f"SELECT {form_columns} FROM forms"),
+        "forms_sparse": query(forms(*SPARSE_FORMS), f"SELECT {form_columns} FROM forms"),
+        "forms_map": query(forms(), f"SELECT {form_columns} FROM forms"),
+        "form_high_water": query(
+            forms(),
+            "SELECT ticker_id, bar_width_sec, formdeepkoef, log_oe, res_type, max(ddate) AS "
+            "max_ddate, max(ts_end) AS max_ts_end FROM forms GROUP BY ALL",
+        ),
+        "form_resume": query(form_marks(), "SELECT * FROM marks"),
+        "fa_since_mark": query(
+            form_marks(),
+            "SELECT fa.* FROM fa LEFT JOIN marks USING (ticker_id, bar_width_sec) WHERE "
+            "mark_ddate IS NULL OR (ddate >= mark_ddate AND ts_end > mark_ts)",
+        ),
+        "label_digits": query([*forms(), labelled(FEATURES)], "SELECT * FROM labelled"),
+        "label_digits_from_zero": query(
+            [*forms(), labelled("frmconfpeak", 1, 0, 2)], "SELECT * FROM labelled"
+        ),
+        "majority_label": query(
+            [*forms(), labelled("frmconfpeak"), MAJORITY], "SELECT * FROM majority"
+        ),
+        "label_counts": query(
+            [*forms(), labelled(FEATURES)],
+            "SELECT label, count(*) AS cnt FROM labelled GROUP BY 1",
+        ),
+        "forms_by_ticker": query(
+            forms(*SPARSE_FORMS),
+            "SELECT ticker_id, count(*) AS forms_cnt FROM forms GROUP BY 1",
+        ),
+        "conf_by_type": query(
+            forms(),
+            "SELECT frmconfpeak, res_type, count(*) AS forms_cnt FROM forms GROUP BY 1, 2",
+        ),
+        "conf_counts": query(
+            forms(), "SELECT frmconfpeak, count(*) AS forms_cnt FROM forms GROUP BY 1"
+        ),
+        "type_counts_for_code": query(
+            forms(),
+            "SELECT res_type, count(*) AS cnt FROM forms WHERE frmconfpeak = 333 GROUP BY 1",
+        ),
+        "strong_trend_forms": query(
+            forms(*SPARSE_FORMS), f"{_trend('mx')} UNION ALL {_trend('mn')}"
+        ),
+        "falling_trend_forms": query(
+            forms(*SPARSE_FORMS), f"{_trend('mx', -1)} UNION ALL {_trend('mn', -1)}"
+        ),
+        "forms_time_span": query(
+            forms(),
+            "SELECT ticker_id, bar_width_sec, ts_begin, ts_end, strftime(make_timestamp(ts_end * "
+            "1000), '%d-%m-%Y') AS ts_end_ddate, (ts_end - ts_begin) / 1000 AS ts_eb_secs "
+            "FROM forms",
+        ),
+        "forms_union": query(
+            [*_rename(forms(), "d_"), *_rename(forms(*SPARSE_FORMS), "s_")],
+            "SELECT 'dense' AS src, res_type, count(*) AS cnt FROM d_forms GROUP BY 2 UNION ALL "
+            "SELECT 'sparse' AS src, res_type, count(*) AS cnt FROM s_forms GROUP BY 2",
+        ),
+        "prediction_hits": query(
+            [*forms(), labelled("frmconfpeak"), MAJORITY],
+            "SELECT sum(CASE WHEN l.label = m.label THEN 1 END)::BIGINT AS right_cnt, "
+            "sum(CASE WHEN l.label <> m.label THEN 1 END)::BIGINT AS wrong_cnt "
+            "FROM labelled l JOIN majority m USING (frmconfpeak)",
+        ),
+        "sql_transform": query(
+            [*forms(), labelled(FEATURES)],
+            "SELECT * REPLACE (CAST(label AS INTEGER) AS label) FROM labelled",
+        ),
+        "string_index": query(
+            forms(),
+            "SELECT code, CAST(row_number() OVER (ORDER BY cnt DESC, code) - 1 AS DOUBLE) AS "
+            "code_index, cnt FROM (SELECT CAST(frmconfpeak AS VARCHAR) AS code, count(*) AS cnt "
+            "FROM forms GROUP BY 1)",
+        ),
+    }

@@ -43,10 +43,10 @@ def majority_label(labels: DataFrame) -> DataFrame:
     )
 
 
-def strong_trend(forms: DataFrame, way: str) -> DataFrame:
+def strong_trend(forms: DataFrame, way: str, level: float = 0.9) -> DataFrame:
     """Price codes of one way's forms that rise more than they fall and whose autocorrelation is
-    above 0.9 at every lag and strictly decreasing."""
-    high = [F.col(c) > 0.9 for c in ("acf_05_bws", "acf_1_bws", "acf_2_bws")]
+    above ``level`` at every lag and strictly decreasing."""
+    high = [F.col(c) > level for c in ("acf_05_bws", "acf_1_bws", "acf_2_bws")]
     return (
         forms.where(
             (F.col("sps") > F.col("sms"))

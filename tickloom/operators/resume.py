@@ -74,11 +74,8 @@ def read_windows(
 
 def resume_step(ticks: DataFrame, windows: DataFrame, **limits) -> DataFrame:
     """Finished bars of one read window per series; each grid starts at the first tick read."""
-    windows = durable(
-        windows.where(F.col("first_read") <= F.col("read_to")).select(
-            *SERIES, "first_read", "read_to"
-        ),
-        "read-windows",
+    windows = windows.where(F.col("first_read") <= F.col("read_to")).select(
+        *SERIES, "first_read", "read_to"
     )
     in_days = _days(ticks, windows, "first_read", "read_to")
     grids = (
@@ -109,26 +106,35 @@ def bars_chained(
     """
     edges = durable(tick_edges(ticks), "tick-edges")
     newest = durable(
-        items.withColumn("last_bar_ts_end", F.lit(None).cast("long")), "newest-bars"
+        items.select(*SERIES, F.lit(None).cast("long").alias("last_bar_ts_end")), "newest-bars"
     )
+    limits = {"at_most": newest.count(), **limits}
     steps = []
     while True:
         points = resume_points(items, newest, edges)
+        found = resume_step(ticks, read_windows(ticks, points, step_ms, **limits), **limits)
+        # A grid that starts at a bar's end finds that bar's last ticks again. Several of them in
+        # one millisecond can make a bar of their own, which must not replace the first one.
         fresh = durable(
-            resume_step(ticks, read_windows(ticks, points, step_ms, **limits), **limits), "step"
-        )
-        moved = (
-            last_bars(fresh)
-            .join(newest.withColumnRenamed("last_bar_ts_end", "_was"), SERIES)
-            .where(F.col("_was").isNull() | (F.col("last_bar_ts_end") > F.col("_was")))
+            found.join(newest.withColumnRenamed("last_bar_ts_end", "_was"), SERIES)
+            .where(F.col("_was").isNull() | (F.col("ts_end") > F.col("_was")))
+            .select(*found.columns),
+            "step",
         )
-        moved = durable(moved.select(*SERIES, "last_bar_ts_end"), "moved")
-        if moved.isEmpty() and steps:
-            break
         steps.append(fresh)
-        if moved.isEmpty():
-            break
+        was, now = F.col("_was"), F.col("last_bar_ts_end")
         newest = durable(
-            newest.join(moved, SERIES, "left_anti").unionByName(moved), "newest-bars"
+            newest.withColumnRenamed("last_bar_ts_end", "_was")
+            .join(last_bars(fresh), SERIES, "left")
+            .select(
+                *SERIES,
+                F.greatest(was, now).alias("last_bar_ts_end"),
+                F.coalesce((was.isNull() & now.isNotNull()) | (now > was), F.lit(False)).alias(
+                    "moved"
+                ),
+            ),
+            "newest-bars",
         )
-    return reduce(DataFrame.unionByName, steps)
+        if newest.where("moved").isEmpty():
+            return reduce(DataFrame.unionByName, steps)
+        newest = newest.drop("moved")

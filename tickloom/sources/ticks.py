@@ -72,9 +72,9 @@ def ticks_for_bars(ticks: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def ticks_for_form(
-    ticks: DataFrame, ticker_id: int, begin_ms: int, end_ms: int, last_day
+    ticks: DataFrame, begin_ms: int, end_ms: int, last_day, ticker_ids: list[int] | None = None
 ) -> DataFrame:
-    """Ticks of one form: a closed interval, and no day after ``last_day``."""
-    return ticks_between(ticks, begin_ms, end_ms, [ticker_id]).where(
+    """Ticks of a form's closed interval, but of no day after ``last_day``."""
+    return ticks_between(ticks, begin_ms, end_ms, ticker_ids).where(
         F.col("ddate") <= F.lit(last_day).cast("date")
     )
