@@ -10,9 +10,8 @@ def half_up(value: Column, places: int) -> Column:
     ``F.round`` rounds negative halves away from zero, so it is not used here.
     """
     scale = float(10**places)
-    return F.when(F.isnan(value), F.lit(0.0)).otherwise(
-        F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    )
+    known = F.nanvl(value, F.lit(0.0))
+    return F.floor(known * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -67,7 +67,10 @@ def _in_buckets(windows: DataFrame, bucket_ms: int) -> DataFrame:
 
 def match_windows(ticks: DataFrame, windows: DataFrame, bucket_ms: int, **limits) -> DataFrame:
     """(tick, window) pairs with the tick inside the window: an equi-join on (instrument, time
-    bucket), then the exact interval test. ``ticks`` carries ``bucket``."""
+    bucket), then the exact interval test. ``ticks`` carries ``bucket``.
+
+    The bucket length suits the narrowest bar width. Wide windows cover several buckets, but there
+    are correspondingly fewer of them, and every tick is sent once for all widths."""
     return checked_join(
         ticks,
         _in_buckets(windows, bucket_ms),
@@ -80,20 +83,13 @@ def match_windows(ticks: DataFrame, windows: DataFrame, bucket_ms: int, **limits
 def form_ticks(ticks: DataFrame, kept: DataFrame, deep: int, **limits) -> DataFrame:
     """The ticks of every form, one row per (form window, tick)."""
     windows = durable(form_windows(kept, deep), "form-windows")
-    bucket_ms = _bucket_ms(windows, deep)
+    bucket_ms = 1000 * deep * (windows.agg(F.min("bar_width_sec")).first()[0] or 1)
     bucketed = ticks.withColumn("bucket", F.floor(F.col("db_tsunx") / bucket_ms))
     return match_windows(bucketed, windows, bucket_ms, **limits).select(
         *_WINDOW, "ts", "db_tsunx", "ask", "bid"
     )
 
 
-def _bucket_ms(windows: DataFrame, deep: int) -> int:
-    """Bucket length that suits the narrowest width; wide windows cover several buckets, but
-    there are correspondingly fewer of them, and every tick is sent once for all widths."""
-    narrowest = windows.agg(F.min("bar_width_sec")).first()[0]
-    return (narrowest or 1) * 1000 * deep
-
-
 def _slice_ms(ticks: DataFrame, slice_rows: int) -> int:
     """Length of the time slices ticks are numbered in: an hour, or as much shorter as it takes
     to keep every instrument's slice within ``slice_rows`` ticks."""
@@ -221,8 +217,7 @@ def _second_pass():
 
 
 def _autocorrelation(role: str):
-    n = F.col(f"{role}_n")
-    mean = {k: ratio(F.col(f"{role}_{k}"), n) for k in ("x", "y", "xy", "xx", "yy")}
+    mean = {k: ratio(F.col(f"{role}_{k}"), F.col(f"{role}_n")) for k in ("x", "y", "xy", "xx", "yy")}
     var_x = F.greatest(mean["xx"] - mean["x"] * mean["x"], F.lit(0.0))
     var_y = F.greatest(mean["yy"] - mean["y"] * mean["y"], F.lit(0.0))
     r = ratio(mean["xy"] - mean["x"] * mean["y"], F.sqrt(var_x * var_y))
@@ -237,19 +232,9 @@ def _price_peak():
     return F.when(step == 0, F.col("low")).otherwise(F.col("low") + step * fullest)
 
 
-def _volume_profile():
-    parts = [half_up(ratio(F.col(f"third_{i}"), F.col("n")), 3) for i in (1, 2, 3)]
-    codes = [rank_code(parts[i], *(parts[:i] + parts[i + 1 :])) for i in range(3)]
-    shape = codes[0] * 100 + codes[1] * 10 + codes[2]
-    named = F.lit(0)
-    for (a, b, c), profile in VOLUME_PROFILES.items():
-        named = F.when(shape == a * 100 + b * 10 + c, profile).otherwise(named)
-    return named
-
-
 def _finish(stats: DataFrame, deep: int) -> DataFrame:
-    up, down = (_step_width(s) * F.col(f"{s}_steps") for s in ("up", "down"))
     low, high = F.col("low"), F.col("high")
+    moved = F.col("_up") + F.col("_down")
     long_enough = F.col("t_max") - F.col("t_min") >= F.lit(1000 * (deep - 1)) * F.col(
         "bar_width_sec"
     )
@@ -258,24 +243,34 @@ def _finish(stats: DataFrame, deep: int) -> DataFrame:
         + third_of(F.col("peak_price"), low, high) * 10
         + third_of(F.col("last_ask"), low, high)
     )
+    parts = {f"_v{i}": half_up(ratio(F.col(f"third_{i}"), F.col("n")), 3) for i in (1, 2, 3)}
+    v1, v2, v3 = (F.col(name) for name in parts)
+    profile = F.create_map(
+        *(F.lit(x) for (a, b, c), code in VOLUME_PROFILES.items() for x in (100 * a + 10 * b + c, code))
+    )
+    shape = rank_code(v1, v2, v3) * 100 + rank_code(v2, v1, v3) * 10 + rank_code(v3, v1, v2)
     return (
-        stats.withColumns({"peak_price": _price_peak(), "_up": up, "_down": down})
-        .withColumns(
+        stats.withColumns(
             {
-                "tickscnt": F.col("n").cast("int"),
-                "ts_begin": F.col("t_min"),
-                "frmconfpeak": F.when(long_enough, peak_code).otherwise(0),
-                "sps": F.coalesce(
-                    half_up(ratio(F.col("_up"), F.col("_up") + F.col("_down")), 3), F.lit(0.0)
-                ),
-                "sms": F.coalesce(
-                    half_up(ratio(F.col("_down"), F.col("_up") + F.col("_down")), 3), F.lit(0.0)
-                ),
-                "tcvolprofile": _volume_profile(),
-                **{role: _autocorrelation(role) for role in ROLES},
+                "peak_price": _price_peak(),
+                "_up": _step_width("up") * F.col("up_steps"),
+                "_down": _step_width("down") * F.col("down_steps"),
+                **parts,
             }
         )
-        .select(*_WINDOW, "ts_begin", "peak_price", *FORM_PROPS)
+        .select(
+            *_WINDOW,
+            F.col("t_min").alias("ts_begin"),
+            "peak_price",
+            F.col("n").cast("int").alias("tickscnt"),
+            F.when(long_enough, peak_code).otherwise(0).alias("frmconfpeak"),
+            *(
+                F.coalesce(half_up(ratio(F.col(side), moved), 3), F.lit(0.0)).alias(name)
+                for side, name in (("_up", "sps"), ("_down", "sms"))
+            ),
+            F.coalesce(F.try_element_at(profile, shape), F.lit(0)).alias("tcvolprofile"),
+            *(_autocorrelation(role).alias(role) for role in ROLES),
+        )
     )
 
 
@@ -289,10 +284,16 @@ def window_features(
     **limits,
 ) -> DataFrame:
     """Features of every window that has ticks. ``windows`` should be a written table."""
-    widths = [r[0] for r in windows.select("bar_width_sec").distinct().collect()]
+    per_width = windows.groupBy("bar_width_sec").count().collect()  # one row per bar width
+    widths = sorted(r["bar_width_sec"] for r in per_width)
     lags_of = {w: tuple(lags or default_lags(w)) for w in widths} or {0: tuple(lags or (1, 1, 1))}
     wanted = sorted({1, *(k for ks in lags_of.values() for k in ks)})
-    bucket_ms = _bucket_ms(windows, deep)
+    bucket_ms = (widths or [1])[0] * 1000 * deep
+    # A window of width w touches at most w / narrowest + 2 buckets.
+    limits = {
+        "at_most": sum(r["count"] * (r["bar_width_sec"] // widths[0] + 2) for r in per_width),
+        **limits,
+    }
     slim = ticks.select(
         "ticker_id",
         "ts",
@@ -300,10 +301,7 @@ def window_features(
         "ask",
         F.floor(F.col("db_tsunx") / bucket_ms).alias("bucket"),
     )
-    touched = durable(
-        _in_buckets(windows, bucket_ms).select("ticker_id", "bucket").distinct(),
-        "touched-buckets",
-    )
+    touched = _in_buckets(windows, bucket_ms).select("ticker_id", "bucket").distinct()
     slim = checked_join(
         slim, touched, ["ticker_id", "bucket"], "left_semi", spread=["db_tsunx", "ts"], **limits
     )

@@ -5,8 +5,10 @@ not count, so neither a running maximum nor a nearest-bar search answers the que
 would pair every bar with all later ones. Instead bars are numbered per series and put under a
 tree of price hulls with ``FANOUT`` children per node. Each open search looks at one list of
 siblings per round: it moves down into the first child whose hull can hold a target, or up when
-there is none. A search costs a few lists of at most ``FANOUT`` entries, however far away its
-answer is and however long the series.
+there is none. A search usually costs a few lists of at most ``FANOUT`` entries, however far away
+its answer is. Where hulls keep promising targets that no bar holds (thinly traded series, whose
+bars are single prices), the searches still open after a fixed number of rounds go to an as-of match
+on price cells instead.
 """
 
 from functools import reduce
@@ -20,6 +22,7 @@ from ..plans.durable import durable
 from ..plans.joins import HOT_ROWS, split_hot
 from ..plans.series import numbered
 from ..schema import OUTCOMES, SERIES
+from .pricecells import with_hits
 
 FANOUT = 64
 
@@ -159,8 +162,15 @@ def first_hits(
     order: str = "stored",
     fanout: int = FANOUT,
     hot_rows: int = HOT_ROWS,
+    max_rounds: int | None = None,
 ) -> DataFrame:
-    """Every (bar, threshold) with its outcome: ``res_type`` and the hit bar, ``nn`` if none."""
+    """Every (bar, threshold) with its outcome: ``res_type`` and the hit bar, ``nn`` if none.
+
+    ``max_rounds`` of the tree search (by default enough to climb to the top and down again) come
+    before the price cells take over.
+    """
+    if any(t < 0 for t in thresholds):
+        raise ValueError("thresholds are sizes of a move and cannot be negative")
     series = durable(numbered_bars(bars, order), "numbered-bars")
     counts = series.agg(F.max("seq").alias("m"), F.count(F.lit(1)).alias("n")).first()
     longest = (counts["m"] or 0) + 1
@@ -173,16 +183,20 @@ def first_hits(
         .withColumns({"level": F.lit(0), "cursor": F.col("seq") + 1})
         .drop("low", "high")
     )
+    if max_rounds is None:
+        max_rounds = 2 * top + 2
     rounds = []
-    while open_rows > 0:
+    for _ in range(max_rounds):
+        if open_rows == 0:
+            break
         state = durable(
             _advance(searches, lists, top, fanout, open_rows, hot_rows), "search-round"
         )
         rounds.append(state.where((F.col("level") < 0) | (F.col("level") > top)))
         searches = state.where(F.col("level").between(0, top)).drop("hit")
         open_rows = 0 if top == 0 else searches.count()
-    if not rounds:
-        rounds = [_advance(searches, lists, top, fanout, 0, hot_rows)]
+    if open_rows or not rounds:
+        rounds.append(with_hits(searches, series, hot_rows=hot_rows))
     hit = F.col("hit")
     return reduce(DataFrame.unionByName, rounds).select(
         *SERIES,
