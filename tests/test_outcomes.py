@@ -76,11 +76,13 @@ def random_rows(rng, sizes):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 5}, {"max_rounds": 0}, {"max_rounds": 1}])
-@pytest.mark.parametrize("fanout", [3, 64])
-def test_tree_search_equals_the_definition(spark, fanout, limits):
-    rows = random_rows(random.Random(3), {1: 120, 2: 30, 3: 1})
-    hits = first_hits(bars_frame(spark, rows), [0.03, 0.2], fanout=fanout, **limits)
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"fanout": 4}, {"fanout": 4, "hot_rows": 5}, {"max_rounds": 0}, {"fanout": 4, "max_rounds": 1}],
+)
+def test_search_equals_the_definition(spark, options):
+    rows = random_rows(random.Random(3), {1: 60, 2: 20, 3: 1})
+    hits = first_hits(bars_frame(spark, rows), [0.03, 0.2], **options)
     assert rows_of(hits, *COLUMNS) == brute(rows, [0.03, 0.2])
     assert hits.where("res_type = 'bt'").count() == 0
 
