@@ -27,6 +27,7 @@ from .pricecells import with_hits
 FANOUT = 64
 
 _NODE = [*SERIES, "level", "parent"]
+_LISTED = {"low": "double", "high": "double", "ts_end": "long", "ddate": "date", "c": "double"}
 _ORDER = {
     "stored": ("ddate", ["ts_end", "ts_begin"]),
     "grid": ("ddate", ["ts_begin"]),
@@ -34,12 +35,8 @@ _ORDER = {
 
 
 def reaches(up: Column, down: Column, low: Column, high: Column) -> Column:
-    """Whether a price range holds either target, or spans both."""
-    return (
-        ((low <= up) & (up <= high))
-        | ((low <= down) & (down <= high))
-        | ((up <= high) & (down >= low))
-    )
+    """Whether a price range holds either target. (One that spans both holds both.)"""
+    return ((low <= up) & (up <= high)) | ((low <= down) & (down <= high))
 
 
 def outcome_label(up: Column, down: Column, low: Column, high: Column) -> Column:
@@ -90,27 +87,35 @@ def numbered_bars(bars: DataFrame, order: str = "stored") -> DataFrame:
 
 
 def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFrame, int]:
-    """Rows (series, level, parent, kids); kids are at most ``fanout`` entries in order, each with
-    its number, price hull and, on level 0, the bar's payload. Returns the top level too."""
+    """Rows (series, level, parent) with the children in order, at most ``fanout``, as parallel
+    arrays: price hulls ``lows`` and ``highs`` and, on level 0, the bars' payload. Returns the top
+    level too."""
     level, nodes, lists = 0, bars.withColumnRenamed("seq", "idx"), []
-    payload = F.struct("ts_end", "ddate", "c")
     while True:
-        grouped = nodes.withColumn("parent", F.floor(F.col("idx") / fanout)).groupBy(
-            *SERIES, "parent"
+        payload = ("ts_end", "ddate", "c") if level == 0 else ()
+        rows = (
+            nodes.withColumn("parent", F.floor(F.col("idx") / fanout))
+            .groupBy(*SERIES, "parent")
+            .agg(
+                F.array_sort(F.collect_list(F.struct("idx", "low", "high", *payload))).alias("kids"),
+                F.min("low").alias("low"),
+                F.max("high").alias("high"),
+            )
         )
-        entry = F.struct(
-            "idx",
-            "low",
-            "high",
-            (payload if level == 0 else F.lit(None).cast("struct<ts_end:long,ddate:date,c:double>"))
-            .alias("bar"),
-        )
-        rows = grouped.agg(
-            F.array_sort(F.collect_list(entry)).alias("kids"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
+        arrays = {
+            f"{name}s": F.col(f"kids.{name}")
+            if name in ("low", "high", *payload)
+            else F.lit(None).cast(f"array<{kind}>")
+            for name, kind in _LISTED.items()
+        }
+        lists.append(
+            rows.select(
+                *SERIES,
+                F.lit(level).alias("level"),
+                "parent",
+                *(column.alias(name) for name, column in arrays.items()),
+            )
         )
-        lists.append(rows.select(*SERIES, F.lit(level).alias("level"), "parent", "kids"))
         if fanout ** (level + 1) >= longest:
             return reduce(DataFrame.unionByName, lists), level
         nodes = rows.select(*SERIES, F.col("parent").alias("idx"), "low", "high")
@@ -129,13 +134,32 @@ def _advance(open_searches, lists, top, fanout, open_rows, hot_rows) -> DataFram
             searches, lists, _NODE, [*SERIES, "seq", "log_oe"], hot_rows
         )
         on = [*_NODE, "_part"]
-    found = F.filter(
-        "kids",
-        lambda kid: (kid["idx"] >= F.col("cursor"))
-        & reaches(F.col("up"), F.col("down"), kid["low"], kid["high"]),
+    # Lists have no holes, so the cursor gives the place to start.
+    start = (F.col("cursor") - F.col("parent") * fanout).cast("int")
+    last = F.size("lows") - 1
+
+    def first_of(skip: int, look: int) -> Column:
+        stop = F.least(start + (skip + look - 1), last)
+        held = F.filter(
+            F.sequence(start + skip, stop),
+            lambda i: reaches(
+                F.col("up"), F.col("down"), F.get("lows", i), F.get("highs", i)
+            ),
+        )
+        return F.when(start + skip <= stop, F.get(held, F.lit(0)))
+
+    # Most answers are close: look at a few siblings before the rest of the list.
+    found = F.coalesce(first_of(0, 4), first_of(4, 12), first_of(16, fanout))
+    at, idx = F.col("at"), F.col("parent") * fanout + F.col("at")
+    hit = F.struct(
+        idx.alias("idx"),
+        F.get("lows", at).alias("low"),
+        F.get("highs", at).alias("high"),
+        F.struct(*(F.get(f"{name}s", at).alias(name) for name in ("ts_end", "ddate", "c"))).alias(
+            "bar"
+        ),
     )
-    hit = F.col("hit")
-    return searches.join(lists, on, "left").withColumn("hit", F.get(found, F.lit(0))).select(
+    return searches.join(lists, on, "left").withColumn("at", found).select(
         *SERIES,
         "seq",
         "ddate",
@@ -145,14 +169,12 @@ def _advance(open_searches, lists, top, fanout, open_rows, hot_rows) -> DataFram
         "log_oe",
         "up",
         "down",
-        F.when(hit.isNotNull(), F.col("level") - 1)
+        F.when(at.isNotNull(), F.col("level") - 1)
         .when(F.col("level") == top, F.lit(top + 1))
         .otherwise(F.col("level") + 1)
         .alias("level"),
-        F.when(hit.isNotNull(), hit["idx"] * fanout)
-        .otherwise(F.col("parent") + 1)
-        .alias("cursor"),
-        F.when(hit.isNotNull() & (F.col("level") == 0), hit).alias("hit"),
+        F.when(at.isNotNull(), idx * fanout).otherwise(F.col("parent") + 1).alias("cursor"),
+        F.when(at.isNotNull() & (F.col("level") == 0), hit).alias("hit"),
     )
 
 
@@ -184,7 +206,7 @@ def first_hits(
         .drop("low", "high")
     )
     if max_rounds is None:
-        max_rounds = 2 * top + 2
+        max_rounds = 3 * top + 2
     rounds = []
     for _ in range(max_rounds):
         if open_rows == 0:

@@ -80,18 +80,31 @@ def _search_blocks(searches: DataFrame, top: int) -> DataFrame:
     )
 
 
-def next_holding_bar(searches: DataFrame, series: DataFrame) -> DataFrame:
+def next_holding_bar(searches: DataFrame, series: DataFrame, **limits) -> DataFrame:
     """(series, seq, log_oe, hit_seq) of each search that a later bar answers.
 
     ``searches`` carries ``up`` and ``down``; ``series`` the numbered bars with ``low``, ``high``.
     """
-    cells = _cells(series)
+    # Only bars after the first open search of their series can answer one.
+    opened = durable(searches.groupBy(*SERIES).agg(F.min("seq").alias("_from")), "open-series")
+    candidates = checked_join(series, opened, SERIES, spread=["seq"], **limits).where(
+        F.col("seq") > F.col("_from")
+    )
+    cells = _cells(candidates)
     top = cells.agg(F.max("levels")).first()[0]
     if top is None:
         return searches.limit(0).select(*_SEARCH, F.col("seq").alias("hit_seq"))
-    wanted = _search_blocks(searches, top)
+    wanted = durable(_search_blocks(searches, top), "search-blocks")
+    blocks = checked_join(
+        _bar_blocks(cells),
+        wanted.select(*_BLOCK).distinct(),
+        _BLOCK,
+        "left_semi",
+        spread=["seq"],
+        **limits,
+    )
     entries = (
-        _bar_blocks(cells)
+        blocks
         .withColumns({"bar": F.col("seq"), "log_oe": F.lit(None).cast("double")})
         .unionByName(wanted.withColumn("bar", F.lit(None).cast("long")))
         .withColumns({"slice": F.floor(F.col("seq") / SLICE), "back": -F.col("seq")})
@@ -124,7 +137,7 @@ def next_holding_bar(searches: DataFrame, series: DataFrame) -> DataFrame:
 
 def with_hits(searches: DataFrame, series: DataFrame, **limits) -> DataFrame:
     """Searches with ``hit``: number, range and payload of the bar found, null if there is none."""
-    found = durable(next_holding_bar(searches, series), "cell-hits")
+    found = durable(next_holding_bar(searches, series, **limits), "cell-hits")
     bars = series.select(
         *SERIES,
         F.col("seq").alias("hit_seq"),
