@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 from ..functions.numeric import half_up
 from ..functions.times import whole_seconds
 from ..plans.durable import durable
-from ..plans.joins import HOT_ROWS, split_hot
+from ..plans.joins import HOT_ROWS, checked_join, split_hot
 from ..plans.series import numbered
 from ..schema import OUTCOMES, SERIES
-from .pricecells import with_hits
+from .pricecells import next_holding_bar
 
 FANOUT = 64
 
 _NODE = [*SERIES, "level", "parent"]
-_LISTED = {"low": "double", "high": "double", "ts_end": "long", "ddate": "date", "c": "double"}
+_SEARCH = [*SERIES, "seq", "log_oe", "up", "down"]
 _ORDER = {
     "stored": ("ddate", ["ts_end", "ts_begin"]),
     "grid": ("ddate", ["ts_begin"]),
@@ -87,33 +87,26 @@ def numbered_bars(bars: DataFrame, order: str = "stored") -> DataFrame:
 
 
 def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFrame, int]:
-    """Rows (series, level, parent) with the children in order, at most ``fanout``, as parallel
-    arrays: price hulls ``lows`` and ``highs`` and, on level 0, the bars' payload. Returns the top
-    level too."""
+    """Rows (series, level, parent) with the price hulls of the children, at most ``fanout``, as
+    two arrays in order. Returns the top level too."""
     level, nodes, lists = 0, bars.withColumnRenamed("seq", "idx"), []
     while True:
-        payload = ("ts_end", "ddate", "c") if level == 0 else ()
         rows = (
             nodes.withColumn("parent", F.floor(F.col("idx") / fanout))
             .groupBy(*SERIES, "parent")
             .agg(
-                F.array_sort(F.collect_list(F.struct("idx", "low", "high", *payload))).alias("kids"),
+                F.array_sort(F.collect_list(F.struct("idx", "low", "high"))).alias("kids"),
                 F.min("low").alias("low"),
                 F.max("high").alias("high"),
             )
         )
-        arrays = {
-            f"{name}s": F.col(f"kids.{name}")
-            if name in ("low", "high", *payload)
-            else F.lit(None).cast(f"array<{kind}>")
-            for name, kind in _LISTED.items()
-        }
         lists.append(
             rows.select(
                 *SERIES,
                 F.lit(level).alias("level"),
                 "parent",
-                *(column.alias(name) for name, column in arrays.items()),
+                F.col("kids.low").alias("lows"),
+                F.col("kids.high").alias("highs"),
             )
         )
         if fanout ** (level + 1) >= longest:
@@ -125,7 +118,7 @@ def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFram
 def _advance(open_searches, lists, top, fanout, open_rows, hot_rows) -> DataFrame:
     """One round: look at the siblings from the cursor on and move down, up, or finish.
 
-    A finished search has level -1; one that went past the top found nothing.
+    A finished search has level -1 and ``hit_seq``; one that went past the top found nothing.
     """
     searches = open_searches.withColumn("parent", F.floor(F.col("cursor") / fanout))
     on = _NODE
@@ -134,47 +127,27 @@ def _advance(open_searches, lists, top, fanout, open_rows, hot_rows) -> DataFram
             searches, lists, _NODE, [*SERIES, "seq", "log_oe"], hot_rows
         )
         on = [*_NODE, "_part"]
-    # Lists have no holes, so the cursor gives the place to start.
+    at = F.col("at")
+    # Lists have no holes, so the cursor gives the place to start. Place ``fanout`` is past every
+    # list and stands for "none". Exploding and taking the minimum stays in generated code; only
+    # places that qualify reach the aggregate, which needs no shuffle after the join.
     start = (F.col("cursor") - F.col("parent") * fanout).cast("int")
-    last = F.size("lows") - 1
-
-    def first_of(skip: int, look: int) -> Column:
-        stop = F.least(start + (skip + look - 1), last)
-        held = F.filter(
-            F.sequence(start + skip, stop),
-            lambda i: reaches(
-                F.col("up"), F.col("down"), F.get("lows", i), F.get("highs", i)
-            ),
+    looked_at = (
+        searches.join(lists, on, "left")
+        .withColumn("at", F.explode(F.sequence(start, F.lit(fanout))))
+        .where(
+            (at == fanout)
+            | reaches(F.col("up"), F.col("down"), F.get("lows", at), F.get("highs", at))
         )
-        return F.when(start + skip <= stop, F.get(held, F.lit(0)))
-
-    # Most answers are close: look at a few siblings before the rest of the list.
-    found = F.coalesce(first_of(0, 4), first_of(4, 12), first_of(16, fanout))
-    at, idx = F.col("at"), F.col("parent") * fanout + F.col("at")
-    hit = F.struct(
-        idx.alias("idx"),
-        F.get("lows", at).alias("low"),
-        F.get("highs", at).alias("high"),
-        F.struct(*(F.get(f"{name}s", at).alias(name) for name in ("ts_end", "ddate", "c"))).alias(
-            "bar"
-        ),
+        .groupBy(*searches.columns)
+        .agg(F.min("at").alias("at"))
     )
-    return searches.join(lists, on, "left").withColumn("at", found).select(
-        *SERIES,
-        "seq",
-        "ddate",
-        "ts_begin",
-        "ts_end",
-        "c",
-        "log_oe",
-        "up",
-        "down",
-        F.when(at.isNotNull(), F.col("level") - 1)
-        .when(F.col("level") == top, F.lit(top + 1))
-        .otherwise(F.col("level") + 1)
-        .alias("level"),
-        F.when(at.isNotNull(), idx * fanout).otherwise(F.col("parent") + 1).alias("cursor"),
-        F.when(at.isNotNull() & (F.col("level") == 0), hit).alias("hit"),
+    found, idx = at < fanout, F.col("parent") * fanout + at
+    return looked_at.select(
+        *_SEARCH,
+        F.when(found, F.col("level") - 1).otherwise(F.col("level") + 1).alias("level"),
+        F.when(found, idx * fanout).otherwise(F.col("parent") + 1).alias("cursor"),
+        F.when(found & (F.col("level") == 0), idx).alias("hit_seq"),
     )
 
 
@@ -188,8 +161,8 @@ def first_hits(
 ) -> DataFrame:
     """Every (bar, threshold) with its outcome: ``res_type`` and the hit bar, ``nn`` if none.
 
-    ``max_rounds`` of the tree search (by default enough to climb to the top and down again) come
-    before the price cells take over.
+    ``max_rounds`` of the tree search (by default enough to climb to the top, down again and up
+    once more) come before the price cells take over.
     """
     if any(t < 0 for t in thresholds):
         raise ValueError("thresholds are sizes of a move and cannot be negative")
@@ -200,37 +173,63 @@ def first_hits(
     lists, top = _sibling_lists(series, fanout, longest)
     if top > 0:
         lists = durable(lists, "sibling-lists")
-    searches = (
-        with_targets(series, thresholds)
-        .withColumns({"level": F.lit(0), "cursor": F.col("seq") + 1})
-        .drop("low", "high")
+    searches = with_targets(series, thresholds).select(
+        *_SEARCH, F.lit(0).alias("level"), (F.col("seq") + 1).alias("cursor")
     )
     if max_rounds is None:
         max_rounds = 3 * top + 2
-    rounds = []
+    found = [searches.limit(0).select(*_SEARCH, F.col("seq").alias("hit_seq"))]
     for _ in range(max_rounds):
         if open_rows == 0:
             break
         state = durable(
             _advance(searches, lists, top, fanout, open_rows, hot_rows), "search-round"
         )
-        rounds.append(state.where((F.col("level") < 0) | (F.col("level") > top)))
-        searches = state.where(F.col("level").between(0, top)).drop("hit")
+        found.append(state.where(F.col("level") < 0).select(*_SEARCH, "hit_seq"))
+        searches = state.where(F.col("level").between(0, top)).drop("hit_seq")
         open_rows = 0 if top == 0 else searches.count()
-    if open_rows or not rounds:
-        rounds.append(with_hits(searches, series, hot_rows=hot_rows))
-    hit = F.col("hit")
-    return reduce(DataFrame.unionByName, rounds).select(
+    if open_rows:
+        far = durable(next_holding_bar(searches, series, hot_rows=hot_rows), "cell-hits")
+        found.append(far.select(*_SEARCH, "hit_seq"))
+    found = reduce(DataFrame.unionByName, found)
+    pair_rows = counts["n"] * len(thresholds)
+    return _with_hit_bars(with_targets(series, thresholds), found, series, hot_rows, pair_rows)
+
+
+def _with_hit_bars(pairs, found, series, hot_rows, pair_rows) -> DataFrame:
+    """All (bar, threshold) pairs with the bar found for them, and the label."""
+    hit = series.select(
+        *SERIES,
+        F.col("seq").alias("hit_seq"),
+        F.col("ts_end").alias("ts_end_res"),
+        F.col("ddate").alias("ddate_res"),
+        F.col("c").alias("c_res"),
+        F.col("low").alias("hit_low"),
+        F.col("high").alias("hit_high"),
+    )
+    key = [*SERIES, "seq", "log_oe"]
+    # One bar can end the search of very many earlier ones: its key is split like any hot key.
+    answers = checked_join(
+        found.drop("up", "down"),
+        hit,
+        [*SERIES, "hit_seq"],
+        spread=key[2:],
+        hot_rows=hot_rows,
+        big_at_most=pair_rows,
+    )
+    return pairs.join(answers, key, "left").select(
         *SERIES,
         "ddate",
         "ts_begin",
         "ts_end",
         "c",
         "log_oe",
-        hit["bar"]["ts_end"].alias("ts_end_res"),
-        hit["bar"]["ddate"].alias("ddate_res"),
-        hit["bar"]["c"].alias("c_res"),
-        outcome_label(F.col("up"), F.col("down"), hit["low"], hit["high"]).alias("res_type"),
+        "ts_end_res",
+        "ddate_res",
+        "c_res",
+        outcome_label(F.col("up"), F.col("down"), F.col("hit_low"), F.col("hit_high")).alias(
+            "res_type"
+        ),
     )
 
 

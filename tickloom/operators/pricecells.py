@@ -17,7 +17,7 @@ from ..schema import SERIES
 SCALE = 10_000.0  # targets are rounded to 4 places
 SLICE = 65_536  # bar numbers searched together
 _BLOCK = [*SERIES, "level", "block"]
-_SEARCH = [*SERIES, "seq", "log_oe"]
+_SEARCH = [*SERIES, "seq", "log_oe", "up", "down"]
 
 
 def _cells(series: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def _search_blocks(searches: DataFrame, top: int) -> DataFrame:
 
 
 def next_holding_bar(searches: DataFrame, series: DataFrame, **limits) -> DataFrame:
-    """(series, seq, log_oe, hit_seq) of each search that a later bar answers.
+    """Searches that a later bar answers, with its number ``hit_seq``.
 
     ``searches`` carries ``up`` and ``down``; ``series`` the numbered bars with ``low``, ``high``.
     """
@@ -105,7 +105,9 @@ def next_holding_bar(searches: DataFrame, series: DataFrame, **limits) -> DataFr
     )
     entries = (
         blocks
-        .withColumns({"bar": F.col("seq"), "log_oe": F.lit(None).cast("double")})
+        .withColumns(
+            {"bar": F.col("seq"), **{n: F.lit(None).cast("double") for n in _SEARCH[-3:]}}
+        )
         .unionByName(wanted.withColumn("bar", F.lit(None).cast("long")))
         .withColumns({"slice": F.floor(F.col("seq") / SLICE), "back": -F.col("seq")})
     )
@@ -134,17 +136,3 @@ def next_holding_bar(searches: DataFrame, series: DataFrame, **limits) -> DataFr
         .agg(F.min("next").alias("hit_seq"))
     )
 
-
-def with_hits(searches: DataFrame, series: DataFrame, **limits) -> DataFrame:
-    """Searches with ``hit``: number, range and payload of the bar found, null if there is none."""
-    found = durable(next_holding_bar(searches, series, **limits), "cell-hits")
-    bars = series.select(
-        *SERIES,
-        F.col("seq").alias("hit_seq"),
-        F.struct(
-            F.col("seq").alias("idx"), "low", "high", F.struct("ts_end", "ddate", "c").alias("bar")
-        ).alias("hit"),
-    )
-    # Many searches may end in the same bar.
-    payload = checked_join(found, bars, [*SERIES, "hit_seq"], spread=["seq", "log_oe"], **limits)
-    return searches.join(payload.drop("hit_seq"), _SEARCH, "left")

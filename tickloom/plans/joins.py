@@ -70,15 +70,19 @@ def checked_join(
     small_rows: int = SMALL_ROWS,
     hot_rows: int = HOT_ROWS,
     at_most: int | None = None,
+    big_at_most: int | None = None,
 ) -> DataFrame:
     """Join where every row of ``big`` is kept on its own (inner, left, left_semi, left_anti).
 
     ``small`` should be a written table. It is broadcast when its counted size allows that;
-    otherwise both sides shuffle, with the hot keys of ``big`` split. ``at_most`` is a bound on its
-    rows the caller has already established, which saves the count.
+    otherwise both sides shuffle, with the hot keys of ``big`` split. ``at_most`` and
+    ``big_at_most`` are bounds on the rows of either side that the caller has already established;
+    they save the counts.
     """
     fits = at_most <= small_rows if at_most is not None else fits_broadcast(small, small_rows)
     if fits:
         return big.join(F.broadcast(small), on, how)
+    if big_at_most is not None and big_at_most <= hot_rows:  # no key can be hot
+        return big.join(small, on, how)
     big, small = split_hot(big, small, on, spread, hot_rows)
     return big.join(small, [*on, "_part"], how).drop("_part")
