@@ -560,7 +560,8 @@ def prediction_hits(x):
     guess = research.majority_label(labels).select(
         "frmconfpeak", F.col("label").alias("prediction")
     )
-    return research.prediction_hits(labels.join(guess, "frmconfpeak"))
+    # At most 28 price codes.
+    return research.prediction_hits(labels.join(F.broadcast(guess), "frmconfpeak"))
 
 
 @register

@@ -51,9 +51,11 @@ def form_windows(kept: DataFrame, deep: int, clip_to_first: bool = False) -> Dat
     begin = F.col("ts_end") - F.col("bar_width_sec").cast("long") * 1000 * deep
     if not clip_to_first:
         return windows.withColumn("from_ms", begin)
-    first = kept.groupBy("ticker_id").agg(F.min("ts_end").alias("_first"))
+    first = durable(
+        kept.groupBy("ticker_id").agg(F.min("ts_end").alias("_first")), "first-kept"
+    )
     return (
-        windows.join(first, "ticker_id")
+        checked_join(windows, first, ["ticker_id"], spread=["ts_end", "bar_width_sec"])
         .withColumn("from_ms", F.greatest(begin, F.col("_first")))
         .drop("_first")
     )

@@ -252,9 +252,11 @@ def bars_to_analyse(
     """
     found = bars
     if outcomes is not None:
-        done = outcomes.groupBy(*SERIES).agg(F.max("ddate").alias("_done"))
+        done = durable(
+            outcomes.groupBy(*SERIES).agg(F.max("ddate").alias("_done")), "analysed-days"
+        )
         found = (
-            found.join(done, SERIES, "left")
+            checked_join(found, done, SERIES, "left", spread=["ddate", "ts_end"])
             .where(F.col("_done").isNull() | (F.col("ddate") >= F.col("_done")))
             .drop("_done")
         )

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.durable import durable
+from ..plans.joins import checked_join
 from ..schema import FORM_PROPS, SERIES
 
 
@@ -46,9 +48,9 @@ def outcomes_since(outcomes: DataFrame, marks: DataFrame) -> DataFrame:
 
     ``marks`` carries ``mark_ddate`` and ``mark_ts`` per series, null where there is none.
     """
-    mine = marks.select(*SERIES, "mark_ddate", "mark_ts")
+    mine = durable(marks.select(*SERIES, "mark_ddate", "mark_ts"), "marks")
     return (
-        outcomes.join(mine, SERIES, "left")
+        checked_join(outcomes, mine, SERIES, "left", spread=["ddate", "ts_end", "log_oe"])
         .where(
             F.col("mark_ddate").isNull()
             | F.col("mark_ts").isNull()

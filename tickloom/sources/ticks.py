@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import utc_day
+from ..plans.durable import durable
+from ..plans.joins import checked_join
 from ..schema import TICKS
 
 # Instrument code of each event type (alphabetical).
@@ -54,14 +56,9 @@ def ticks_between(
 def ticks_for_bars(ticks: DataFrame, bars: DataFrame) -> DataFrame:
     """Ticks of each instrument between its first and its last given bar end, both included,
     on the days those bars carry."""
-    spans = bars.groupBy("ticker_id").agg(
-        F.min("ts_end").alias("_from"),
-        F.max("ts_end").alias("_to"),
-        F.min("ddate").alias("_day_from"),
-        F.max("ddate").alias("_day_to"),
-    )
+    spans = durable(_spans(bars), "bar-spans")
     return (
-        ticks.join(spans, "ticker_id")
+        checked_join(ticks, spans, ["ticker_id"], spread=["db_tsunx", "ts"])
         .where(
             F.col("db_tsunx").between(F.col("_from"), F.col("_to"))
             & F.col("ddate").between(F.col("_day_from"), F.col("_day_to"))
@@ -71,6 +68,15 @@ def ticks_for_bars(ticks: DataFrame, bars: DataFrame) -> DataFrame:
     )
 
 
+def _spans(bars: DataFrame) -> DataFrame:
+    return bars.groupBy("ticker_id").agg(
+        F.min("ts_end").alias("_from"),
+        F.max("ts_end").alias("_to"),
+        F.min("ddate").alias("_day_from"),
+        F.max("ddate").alias("_day_to"),
+    )
+
+
 def ticks_for_form(
     ticks: DataFrame, begin_ms: int, end_ms: int, last_day, ticker_ids: list[int] | None = None
 ) -> DataFrame:

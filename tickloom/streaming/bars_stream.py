@@ -143,9 +143,9 @@ def update(
     after = durable(after, "stream-after")
     right_side = F.col("t_first") + F.col("g") * _width_ms()
     merged = durable(
-        buckets.join(after.select(*SERIES, "t_first", "closed_to"), SERIES).withColumn(
-            "_closed", right_side <= F.col("closed_to")
-        ),
+        checked_join(
+            buckets, after.select(*SERIES, "t_first", "closed_to"), SERIES, spread=["g"]
+        ).withColumn("_closed", right_side <= F.col("closed_to")),
         "stream-buckets",
     )
     closed = merged.where("_closed").withColumns(
