@@ -93,3 +93,22 @@ def test_summary_counts_and_edges(spark, make_ticks):
     assert rows_of(bars_dates_summary(bars), "cnt", "ts_end_min", "ts_end_max") == [
         (3, 9999, 35000)
     ]
+
+
+@pytest.mark.parametrize("limits", [{}, {"small_rows": 0, "hot_rows": 20}])
+def test_several_widths_give_the_bars_of_each_width_alone(spark, make_ticks, limits):
+    rng = random.Random(8)
+    ticks = make_ticks(
+        [
+            (t, ms, 60_000 + rng.randint(0, 300) / 100)
+            for t, n in ((1, 300), (2, 30))
+            for ms in sorted(rng.sample(range(1_500_000), n))
+        ]
+    )
+    both = items(spark, (1, 30), (1, 40), (1, 120), (2, 40), (2, 120))
+    together = bars_from_first_tick(ticks, both, **limits)
+    for width in (30, 40, 120):
+        alone = bars_from_first_tick(ticks, both.where(F.col("bar_width_sec") == width))
+        mine = together.where(F.col("bar_width_sec") == width)
+        assert alone.count() > 5
+        assert rows_of(mine, *BARS.names) == rows_of(alone, *BARS.names)

@@ -1,5 +1,7 @@
 """The bar grid and the bar aggregate."""
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +10,8 @@ from ..plans.durable import durable
 from ..plans.joins import checked_join
 from ..schema import BARS, SERIES
 
+MAX_PIECES = 512  # narrow buckets merged into one wide one at most
+
 
 def tick_spans(ticks: DataFrame) -> DataFrame:
     """First and last tick time of each instrument."""
@@ -68,48 +72,99 @@ def finish_bars(raw: DataFrame) -> DataFrame:
     ).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS))
 
 
-def bars_on_grid(ticks: DataFrame, grids: DataFrame, **join_limits) -> DataFrame:
-    """One bar per finished, non-empty grid bucket, for all series of ``grids`` at once.
-
-    Everything is a partially aggregated ``groupBy``, so a busy instrument is folded on the map
-    side. The deviation is ``stddev_pop``: the textbook difference of moments loses its digits on
-    large prices.
-    """
-    slim = gridded(ticks, grids, **join_limits).select(
-        *SERIES,
-        "g",
-        mid().alias("mid"),
-        F.struct("ddate", "ts", "db_tsunx").alias("at"),
-    )
-    first, last = F.struct("at", "mid"), F.struct("at", "mid")
-    raw = (
-        slim.groupBy(*SERIES, "g")
+def fold(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Ticks to one mergeable piece per key: first and last by (ddate, ts, db_tsunx), extremes,
+    count, mean and sum of squared deviations. Partially aggregated, so a busy instrument is folded
+    on the map side."""
+    at = F.struct("ddate", "ts", "db_tsunx").alias("at")
+    return (
+        placed.select(*keys, at, mid().alias("mid"))
+        .groupBy(*keys)
         .agg(
-            F.min(first).alias("first"),
-            F.max(last).alias("last"),
+            F.min(F.struct("at", "mid")).alias("first"),
+            F.max(F.struct("at", "mid")).alias("last"),
             F.max("mid").alias("h_"),
             F.min("mid").alias("l_"),
             F.count(F.lit(1)).alias("ticks_cnt"),
-            F.stddev_pop("mid").alias("sd"),
+            F.avg("mid").alias("mean"),
+            (F.var_pop("mid") * F.count(F.lit(1))).alias("m2"),
         )
-        .withColumns(
+    )
+
+
+def merge(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """Pieces of the same key to one. A key has few pieces: their deviations are summed around the
+    common mean, since a difference of moments loses its digits on large prices."""
+    total = F.aggregate(
+        "parts", F.lit(0.0), lambda acc, p: acc + p["mean"] * p["ticks_cnt"]
+    ) / F.col("ticks_cnt")
+    spread = F.aggregate(
+        "parts",
+        F.lit(0.0),
+        lambda acc, p: acc
+        + p["m2"]
+        + p["ticks_cnt"] * (p["mean"] - F.col("mean")) * (p["mean"] - F.col("mean")),
+    )
+    return (
+        pieces.groupBy(*keys)
+        .agg(
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.max("h_").alias("h_"),
+            F.min("l_").alias("l_"),
+            F.sum("ticks_cnt").alias("ticks_cnt"),
+            F.collect_list(F.struct("ticks_cnt", "mean", "m2")).alias("parts"),
+        )
+        .withColumn("mean", total)
+        .withColumn("m2", spread)
+        .drop("parts")
+    )
+
+
+def bars_of_pieces(pieces: DataFrame) -> DataFrame:
+    """One finished piece per bucket to bars."""
+    return finish_bars(
+        pieces.withColumns(
             {
                 "o_": F.col("first.mid"),
                 "c_": F.col("last.mid"),
                 "first_ms": F.col("first.at.db_tsunx"),
                 "last_ms": F.col("last.at.db_tsunx"),
                 "last_day": F.col("last.at.ddate"),
+                "sd": F.sqrt(F.col("m2") / F.col("ticks_cnt")),
             }
         )
     )
-    return finish_bars(raw)
+
+
+def bars_on_grid(ticks: DataFrame, grids: DataFrame, **join_limits) -> DataFrame:
+    """One bar per finished, non-empty grid bucket, for all series of ``grids`` at once."""
+    return bars_of_pieces(fold(gridded(ticks, grids, **join_limits), [*SERIES, "g"]))
 
 
 def bars_from_first_tick(ticks: DataFrame, work_items: DataFrame, **join_limits) -> DataFrame:
     """Bars of every (ticker_id, bar_width_sec) work item on a grid fixed at the instrument's
-    first tick."""
+    first tick.
+
+    All widths of an instrument share that start. With several widths, ticks are folded once at
+    the widths' common divisor and the bars of each width are merged from these pieces.
+    """
     grids = durable(work_items.join(tick_spans(ticks), "ticker_id"), "grids")
-    return bars_on_grid(ticks, grids, **join_limits)
+    widths = [r[0] for r in grids.select("bar_width_sec").distinct().collect()]
+    base = math.gcd(*widths)
+    if len(widths) < 2 or max(widths) // base > MAX_PIECES:
+        return bars_on_grid(ticks, grids, **join_limits)
+    narrow = grids.select(
+        "ticker_id", F.lit(base).alias("bar_width_sec"), "t_first", "t_last"
+    ).distinct()
+    # A piece that is unfinished lies in an unfinished bucket of every width.
+    pieces = fold(gridded(ticks, narrow, **join_limits), ["ticker_id", "g"])
+    width_ms = F.col("bar_width_sec").cast("long") * 1000
+    placed = checked_join(
+        pieces.withColumnRenamed("g", "piece"), grids, ["ticker_id"], spread=["piece"], **join_limits
+    ).withColumn("g", F.floor((F.col("piece") - 1) * base / F.col("bar_width_sec")) + 1)
+    finished = F.col("t_first") + F.col("g") * width_ms <= F.col("t_last")
+    return bars_of_pieces(merge(placed.where(finished), [*SERIES, "g"]))
 
 
 def bars_dates_summary(bars: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.bars import finish_bars, mid
+from ..operators.bars import bars_of_pieces, fold, merge
 from ..plans.durable import durable
 from ..plans.joins import checked_join
 from ..schema import BARS, SERIES
@@ -47,22 +47,6 @@ def event_ticks(
     return ticks_from_events(events, mapping)
 
 
-def _merge(parts: DataFrame) -> DataFrame:
-    """Combine the (at most two) partial aggregates of each bucket: carried over and new."""
-    n = F.sum("ticks_cnt")
-    gap = F.max("mean") - F.min("mean")
-    pairs = (n * n - F.sum(F.col("ticks_cnt") * F.col("ticks_cnt"))) / 2
-    return parts.groupBy(*SERIES, "g").agg(
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
-        F.max("h_").alias("h_"),
-        F.min("l_").alias("l_"),
-        n.alias("ticks_cnt"),
-        (F.sum(F.col("mean") * F.col("ticks_cnt")) / n).alias("mean"),
-        (F.sum("m2") + gap * gap * pairs / n).alias("m2"),
-    )
-
-
 def _width_ms():
     return F.col("bar_width_sec").cast("long") * 1000
 
@@ -71,7 +55,6 @@ def _advance(
     ticks: DataFrame, items: DataFrame, open_before: DataFrame, before: DataFrame, lateness_ms: int
 ) -> tuple[DataFrame, DataFrame]:
     """Buckets (open and newly closed) and series state after one batch."""
-    at = F.struct("ddate", "ts", "db_tsunx").alias("at")
     seen = durable(
         ticks.groupBy("ticker_id")
         .agg(F.min("db_tsunx").alias("_min"), F.max("db_tsunx").alias("_max"))
@@ -86,25 +69,8 @@ def _advance(
         ["ticker_id"],
         spread=["db_tsunx", "ts"],
     ).withColumn("_late", F.col("db_tsunx") < F.coalesce("closed_to", "t_first"))
-    fresh = (
-        placed.select(
-            *SERIES,
-            (F.floor((F.col("db_tsunx") - F.col("t_first")) / _width_ms()) + 1).alias("g"),
-            mid().alias("mid"),
-            at,
-            "_late",
-        )
-        .groupBy(*SERIES, "g", "_late")
-        .agg(
-            F.min(F.struct("at", "mid")).alias("first"),
-            F.max(F.struct("at", "mid")).alias("last"),
-            F.max("mid").alias("h_"),
-            F.min("mid").alias("l_"),
-            F.count(F.lit(1)).alias("ticks_cnt"),
-            F.avg("mid").alias("mean"),
-            (F.var_pop("mid") * F.count(F.lit(1))).alias("m2"),
-        )
-    )
+    bucket = F.floor((F.col("db_tsunx") - F.col("t_first")) / _width_ms()) + 1
+    fresh = fold(placed.withColumn("g", bucket), [*SERIES, "g", "_late"])
     fresh = durable(fresh, "stream-fresh")
     late = (
         fresh.where("_late").groupBy(*SERIES).agg(F.sum("ticks_cnt").alias("_dropped"))
@@ -124,9 +90,8 @@ def _advance(
     )
     # Series without ticks in this batch stay as they were.
     after = after.unionByName(before.join(seen, SERIES, "left_anti"))
-    buckets = _merge(
-        open_before.unionByName(fresh.where(~F.col("_late")).drop("_late"))
-    )
+    in_time = fresh.where(~F.col("_late")).drop("_late")
+    buckets = merge(open_before.unionByName(in_time), [*SERIES, "g"])
     return buckets, after
 
 
@@ -148,17 +113,8 @@ def update(
         ).withColumn("_closed", right_side <= F.col("closed_to")),
         "stream-buckets",
     )
-    closed = merged.where("_closed").withColumns(
-        {
-            "o_": F.col("first.mid"),
-            "c_": F.col("last.mid"),
-            "first_ms": F.col("first.at.db_tsunx"),
-            "last_ms": F.col("last.at.db_tsunx"),
-            "last_day": F.col("last.at.ddate"),
-            "sd": F.sqrt(F.col("m2") / F.col("ticks_cnt")),
-        }
-    )
-    finish_bars(closed).write.mode("overwrite").parquet(f"{folder}/bars/epoch={epoch}")
+    bars = bars_of_pieces(merged.where("_closed"))
+    bars.write.mode("overwrite").parquet(f"{folder}/bars/epoch={epoch}")
     merged.where("not _closed").drop("t_first", "closed_to", "_closed").write.mode(
         "overwrite"
     ).parquet(f"{new}/open")
