@@ -106,7 +106,7 @@ def test_several_widths_give_the_bars_of_each_width_alone(spark, make_ticks, lim
         ]
     )
     both = items(spark, (1, 30), (1, 40), (1, 120), (2, 40), (2, 120))
-    together = bars_from_first_tick(ticks, both, **limits)
+    together = bars_from_first_tick(ticks, both, fold_from=0, **limits)
     for width in (30, 40, 120):
         alone = bars_from_first_tick(ticks, both.where(F.col("bar_width_sec") == width))
         mine = together.where(F.col("bar_width_sec") == width)

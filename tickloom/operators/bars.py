@@ -10,13 +10,16 @@ from ..plans.durable import durable
 from ..plans.joins import checked_join
 from ..schema import BARS, SERIES
 
+FOLD_FROM = 4.0  # ticks per narrow bucket that make folding first worth its shuffle
 MAX_PIECES = 512  # narrow buckets merged into one wide one at most
 
 
 def tick_spans(ticks: DataFrame) -> DataFrame:
-    """First and last tick time of each instrument."""
+    """First and last tick time and number of ticks of each instrument."""
     return ticks.groupBy("ticker_id").agg(
-        F.min("db_tsunx").alias("t_first"), F.max("db_tsunx").alias("t_last")
+        F.min("db_tsunx").alias("t_first"),
+        F.max("db_tsunx").alias("t_last"),
+        F.count(F.lit(1)).alias("ticks_cnt"),
     )
 
 
@@ -142,17 +145,29 @@ def bars_on_grid(ticks: DataFrame, grids: DataFrame, **join_limits) -> DataFrame
     return bars_of_pieces(fold(gridded(ticks, grids, **join_limits), [*SERIES, "g"]))
 
 
-def bars_from_first_tick(ticks: DataFrame, work_items: DataFrame, **join_limits) -> DataFrame:
+def bars_from_first_tick(
+    ticks: DataFrame, work_items: DataFrame, fold_from: float = FOLD_FROM, **join_limits
+) -> DataFrame:
     """Bars of every (ticker_id, bar_width_sec) work item on a grid fixed at the instrument's
     first tick.
 
-    All widths of an instrument share that start. With several widths, ticks are folded once at
-    the widths' common divisor and the bars of each width are merged from these pieces.
+    All widths of an instrument share that start. With several widths and at least ``fold_from``
+    ticks per bucket of their common divisor, ticks are folded once into such buckets and the bars
+    of each width are merged from these pieces.
     """
-    grids = durable(work_items.join(tick_spans(ticks), "ticker_id"), "grids")
-    widths = [r[0] for r in grids.select("bar_width_sec").distinct().collect()]
+    spans = durable(work_items.join(tick_spans(ticks), "ticker_id"), "grids")
+    per_width = (  # one row per bar width
+        spans.groupBy("bar_width_sec")
+        .agg(
+            F.sum("ticks_cnt").alias("ticks"), F.sum(F.col("t_last") - F.col("t_first")).alias("ms")
+        )
+        .collect()
+    )
+    grids = spans.drop("ticks_cnt")
+    widths = [r["bar_width_sec"] for r in per_width]
     base = math.gcd(*widths)
-    if len(widths) < 2 or max(widths) // base > MAX_PIECES:
+    dense = all(r["ticks"] * base * 1000 >= fold_from * r["ms"] for r in per_width)
+    if len(widths) < 2 or max(widths) // base > MAX_PIECES or not dense:
         return bars_on_grid(ticks, grids, **join_limits)
     narrow = grids.select(
         "ticker_id", F.lit(base).alias("bar_width_sec"), "t_first", "t_last"
