@@ -1,8 +1,16 @@
 """Registered queries of the operators: thin, each over its whole table, with fixed result columns."""
 
-from . import decontam, quality
+import uuid
+import zlib
+
+import public_tokenizers
+
+from ..session import scratch_dir
+from . import decontam, neardup, quality, tokenfiles
 from .common import documents, table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict = {}
 
 
@@ -29,3 +37,24 @@ def op10_quality(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+@register
+def op9_token_files(spark, sf_dir):
+    return token_files(documents(spark, sf_dir))
+
+
+def token_files(docs):
+    """Write the token files of all texts and read back one row per document."""
+    spark = docs.sparkSession
+    path = f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    tokenfiles.write(docs, path, VOCABULARY)
+    return tokenfiles.decoded(
+        spark, path, "ids_crc32 long", lambda ids: (zlib.crc32(ids.tobytes()),)
+    )
+
+
+@register
+def op4_near_duplicates(spark, sf_dir):
+    classes, _ = neardup.near_duplicates(documents(spark, sf_dir))
+    return classes.select("doc_id", "class_id")
