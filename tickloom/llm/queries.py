@@ -4,9 +4,10 @@ import uuid
 import zlib
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontam, neardup, quality, tokenfiles
+from . import decontam, language, neardup, quality, tokenfiles
 from .common import documents, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,3 +59,13 @@ def token_files(docs):
 def op4_near_duplicates(spark, sf_dir):
     classes, _ = neardup.near_duplicates(documents(spark, sf_dir))
     return classes.select("doc_id", "class_id")
+
+
+@register
+def op8_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = language.identified(docs, language.fitted(docs))
+    held_out = F.coalesce(language.fold(docs) == 0, F.lit(False))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
