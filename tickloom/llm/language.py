@@ -26,8 +26,9 @@ SYMBOL_BITS, LATIN = 9, 384
 # n-grams of one language and order are stored by hashes of so many bits, which bounds every array.
 HASH_BITS = 21
 MOST_LANGUAGES = 500
-# A document is rejected this many deviations above the mean cross-entropy of its language.
-TOLERANCE = 8.0
+# A document is rejected this many deviations above the mean cross-entropy of its language, and at
+# least so many nats per symbol, which texts with a passage in another language stay below.
+TOLERANCE, LEAST_EXCESS = 8.0, 1.0
 # Scales of the score that are tried on the calibration fold.
 SCALES = (0.5, 1.0, 2.0, 4.0, 8.0)
 PIECE = 2 << 20
@@ -284,7 +285,9 @@ def predicted(model: Model, texts: pa.Array, tolerance: float = TOLERANCE):
     share = np.exp(-model.scale * np.sqrt(n)[:, None] * (h - low[:, None])).sum(axis=1)
     limit = np.array([
         np.inf if not model.limits or model.limits[b] is None
-        else model.limits[b][0] + tolerance * (model.limits[b][1] + model.limits[b][2] / max(k, 1)) ** 0.5
+        else model.limits[b][0] + max(
+            LEAST_EXCESS, tolerance * (model.limits[b][1] + model.limits[b][2] / max(k, 1)) ** 0.5
+        )
         for b, k in zip(best, n, strict=True)
     ])
     some = n > 0

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontam, language, neardup, quality, tokenfiles
+from . import decontam, language, neardup, pii, quality, tokenfiles
 from .common import documents, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,3 +69,8 @@ def op8_language(spark, sf_dir):
     return found.select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
     )
+
+
+@register
+def op1_personal_data(spark, sf_dir):
+    return pii.digest(pii.personal_data(documents(spark, sf_dir)))
