@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontam, language, neardup, pii, quality, tokenfiles
+from . import decontam, language, neardup, pii, quality, secrets, tokenfiles
 from .common import documents, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,3 +74,9 @@ def op8_language(spark, sf_dir):
 @register
 def op1_personal_data(spark, sf_dir):
     return pii.digest(pii.personal_data(documents(spark, sf_dir)))
+
+
+@register
+def op5_secrets(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return secrets.digest(secrets.secrets(docs, secrets.fitted(docs)))
