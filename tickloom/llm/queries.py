@@ -7,11 +7,31 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontam, language, neardup, pii, quality, secrets, tokenfiles
-from .common import documents, table
+from . import (
+    decontam,
+    language,
+    mixing,
+    neardup,
+    pii,
+    quality,
+    rollup,
+    secrets,
+    tokenfiles,
+    urls,
+)
+from .common import documents, table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+# Rules of the url filter, and words by which a host is on its list.
+RULES = [
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+]
+LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+
 QUERIES: dict = {}
 
 
@@ -80,3 +100,42 @@ def op1_personal_data(spark, sf_dir):
 def op5_secrets(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return secrets.digest(secrets.secrets(docs, secrets.fitted(docs)))
+
+
+@register
+def op2_mixing(spark, sf_dir):
+    return mixing.mixed(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@register
+def op3_url_filter(spark, sf_dir):
+    """Listed: a key whose first label has a listed word."""
+    label = F.split_part(F.col("key"), F.lit("."), F.lit(1))
+    listed = F.arrays_overlap(F.split(label, "-"), F.array(*(F.lit(w) for w in LISTED_WORDS)))
+    return urls.judged(table(spark, sf_dir, "pages"), listed, RULES)
+
+
+@register
+def op7_token_totals(spark, sf_dir):
+    """All documents come in under two tokenizers, further copies of a text go, the rest is revised
+    (repeated lines dropped) for one tokenizer; each batch is sent twice."""
+    counts = written(rollup.counted(documents(spark, sf_dir)), "counts")
+    first = written(rollup.first_copies(counts), "first-copies")
+    store = rollup.Totals(spark, f"{scratch_dir(spark)}/totals-{uuid.uuid4().hex}")
+
+    def inserted(rows, sign=1):
+        space = rollup.signed(rows, "space-1", "space", sign)
+        return space.unionByName(rollup.signed(rows, "alnum-2", "alnum", sign))
+
+    revised = rollup.signed(first, "alnum-2", "alnum_revised", 1, False).unionByName(
+        rollup.signed(first, "alnum-2", "alnum", -1, False)
+    )
+    batches = {
+        "insert": inserted(counts),
+        "delete-copies": inserted(counts, -1).unionByName(inserted(first)),
+        "revise": revised,
+    }
+    for batch, deltas in [*batches.items(), *batches.items()]:
+        store.commit(batch, deltas)
+    store.compact()
+    return store.totals()

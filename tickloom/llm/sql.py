@@ -79,4 +79,40 @@ FROM f LEFT JOIN lim ON f.lang IS NOT DISTINCT FROM lim.lang
 """
 
 
-SQL = {"op6_decontamination": OP6, "op10_quality": _op10()}
+LABEL_WORDS = "ads|adult|bets|casino|pills|spam"
+OP3 = f"""
+WITH u AS (SELECT page_id,
+  translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{UPPER}', '{LOWER}')
+    AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+r AS (SELECT *, '.' || host AS h FROM u)
+SELECT page_id, host, path,
+  CASE WHEN ends_with(h, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with(h, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with(h, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with(h, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
+  CASE rule WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block'
+    WHEN 'org/fr/' THEN 'allow' WHEN 'net/' THEN 'block'
+    ELSE CASE WHEN regexp_matches(host, '(^|[.-])({LABEL_WORDS})([.-]|$)') THEN 'block'
+      ELSE 'allow' END END AS verdict
+FROM r
+"""
+
+_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LINES = f"array_to_string(list_distinct(string_split({FILLED}, chr(10))), chr(10))"
+OP7 = rf"""
+WITH c AS (SELECT doc_id, source, lang, {FILLED} AS text,
+  len(regexp_extract_all({FILLED}, '[^\x20\x09-\x0D]+')) AS space,
+  len(regexp_extract_all({_LINES}, '{_WORDS}')) AS alnum FROM documents),
+f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1),
+t AS (SELECT source, lang, 'space-1' AS version, space AS n FROM f
+  UNION ALL SELECT source, lang, 'alnum-2', alnum FROM f)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM t GROUP BY 1, 2, 3
+"""
+
+SQL = {
+    "op3_url_filter": OP3,
+    "op6_decontamination": OP6,
+    "op7_token_totals": OP7,
+    "op10_quality": _op10(),
+}
