@@ -10,22 +10,29 @@ Parquet lets every store that Spark writes hold the bytes, with Spark's commit f
 """
 
 import functools
+import itertools
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from .common import flat, pieces, small_batches
+from .common import flat, pieces, small_batches, written
+
+# Spark runs the tasks side by side; the tokenizer starts no threads of its own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END_ID = 0
 # A block closes after so many tokens (a longer document has a block of its own).
-BLOCK_TOKENS = 1 << 18
-# Distinct pre-tokens whose ids a task remembers.
-REMEMBERED = 400_000
+BLOCK_TOKENS = 1 << 14
+# Distinct pre-tokens whose ids a worker remembers, in two generations of half as many.
+REMEMBERED = 1_000_000
 
 # Texts of these characters only are cut into pre-tokens here, by the vocabulary's published
 # pattern written out for them; all others go through the tokenizer whole.
@@ -41,6 +48,11 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def _width(path: str) -> str:
+    """Type that holds every id of the vocabulary in the intermediate blocks."""
+    return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
@@ -51,24 +63,55 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.after_space = np.zeros(max(names.values()) + 1, bool)
+        self.after_space[[i for name, i in names.items() if name.startswith("Ġ")]] = True
+        self.line_end = names.get("Ċ", -1)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in made]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        other = [bool(_OTHER_TEXT.search(x)) for x in texts]
+        cuts = [None if o else _PRE_TOKEN.findall(x) for o, x in zip(other, texts, strict=True)]
+        if len(self.known) > REMEMBERED // 2:
+            self.before, self.known = self.known, {}
+        missing = set().union(*filter(None, cuts)).difference(self.known)
+        for x in missing.intersection(self.before):
+            self.known[x] = self.before[x]
+        self._learn(missing.difference(self.before))
+        ids = self.known.__getitem__
+        return [
+            self._plain([x])[0] if cut is None else b"".join(map(ids, cut))
+            for x, cut in zip(texts, cuts, strict=True)
+        ]
 
-    def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if _OTHER_TEXT.search(text):
-            return self._ids(text)
-        cut, known = _PRE_TOKEN.findall(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, cut))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = [x for x in set(cut) if x not in known]
-            made = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            known.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, made, strict=True))
-            return b"".join(map(known.__getitem__, cut))
+    def _learn(self, pieces: set[str]) -> None:
+        """Ask for many pieces at once: words with their space stand side by side and begin at the
+        ids with a space, words without one on lines of their own; others are asked for singly."""
+        spaced = [x for x in pieces if x[0] == " " and x[1:].isalpha()]
+        bare = [x for x in pieces if x.isalpha()]
+        rest = pieces.difference(spaced, bare)
+        for words, between in ((spaced, ""), (bare, "\n")):
+            if not words:
+                continue
+            raw = self._plain([between.join(words)])[0]
+            ids = np.frombuffer(raw, "<u4")
+            if between:
+                gaps = np.flatnonzero(ids == self.line_end)
+                begin, end = np.append(0, gaps + 1), np.append(gaps, len(ids))
+            else:
+                begin = np.flatnonzero(self.after_space[ids])
+                end = np.append(begin[1:], len(ids))
+            if len(begin) == len(words):
+                cut = zip(words, (4 * begin).tolist(), (4 * end).tolist(), strict=True)
+                self.known.update((x, raw[b:e]) for x, b, e in cut)
+            else:
+                rest |= set(words)
+        single = list(rest)
+        self.known.update(zip(single, self._plain(single), strict=True))
 
 
 @functools.lru_cache(2)
@@ -76,23 +119,20 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def frequencies(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """(id, n) over all texts, the end ids included. At most one row per id of the vocabulary."""
-    size = _tokenizer(vocabulary).get_vocab_size()
+def frequencies(blocks: DataFrame, width: str) -> DataFrame:
+    """(id, n) over all blocks of plain ids. At most one row per id of the vocabulary."""
 
     def count(batches):
-        total = np.zeros(size, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            texts = flat(batch.column(0))
-            enc = encoder(vocabulary)
-            total[end_id] += len(texts)
-            for part in pieces(batch, "text"):
-                ids = b"".join(enc.encode(x.as_py()) for x in flat(part.column(0)))
-                total += np.bincount(np.frombuffer(ids, "<u4"), minlength=size)
+            for ids in batch.column(0):
+                n = np.bincount(np.frombuffer(ids.as_py(), width), minlength=len(total))
+                n[: len(total)] += total
+                total = n
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "id long, n long")
+    counted = blocks.select("ids").mapInArrow(count, "id long, n long")
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -132,84 +172,77 @@ def unpack(control: bytes, data: bytes, n: int, ids: np.ndarray) -> np.ndarray:
     return ids[rank]
 
 
-BLOCKS = (
-    "part int, block int, n_tokens long, doc_ids array<long>, lengths array<int>, "
-    "control binary, data binary"
-)
+_PLACE = "part int, block int, n_tokens long, doc_ids array<long>, lengths array<int>"
+BLOCKS = f"{_PLACE}, control binary, data binary"
 
 
-def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) -> None:
-    """Write every text of ``docs`` in ascending doc_id order to ``path``.
+def plain_blocks(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+    """Blocks of whole documents in ascending doc_id order with their plain ids."""
+    width = _width(vocabulary)
+    schema = to_arrow_schema(T._parse_datatype_string(f"{_PLACE}, ids binary"))
+    end = np.array([end_id], "<u4").tobytes()
 
-    Null and empty texts are just the end id. Rows without doc_id come first; repeated ids stand in
-    the order of their texts' hash and text. An empty table gives files without blocks. Texts are
-    encoded twice, once to count, once to write, so that no ids are stored in between.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    ids = ranked(frequencies(docs, vocabulary, end_id))
-    size = _tokenizer(vocabulary).get_vocab_size()
-    by_rank = np.array(ids, np.int64)
-    rank_of = np.zeros(size, np.uint32)
-    rank_of[by_rank] = np.arange(len(ids))
-    spark.createDataFrame(list(enumerate(ids)), "rank int, id int").coalesce(1).write.parquet(
-        f"{path}/ranks"
-    )
-
-    def code(batches):
-        import itertools
-
-        from pyspark import TaskContext
-
-        task, blocks = TaskContext.get().partitionId(), itertools.count()
+    def encode(batches):
+        part, blocks, enc = TaskContext.get().partitionId(), itertools.count(), encoder(vocabulary)
         kept: list[tuple] = []
-        held = 0
 
         def block():
-            tokens = np.frombuffer(b"".join(x[1] for x in kept), "<u4")
-            control, data = pack(rank_of[tokens])
-            row = {
-                "part": task,
-                "block": next(blocks),
-                "n_tokens": len(tokens),
-                "doc_ids": [x[0] for x in kept],
-                "lengths": [len(x[1]) // 4 for x in kept],
-                "control": control,
-                "data": data,
-            }
-            kept.clear()
-            return pa.RecordBatch.from_pylist([row], schema=arrow)
-
-        end = np.array([end_id], "<u4").tobytes()
-        enc = encoder(vocabulary)
+            ids = b"".join(x[1] for x in kept)
+            row = [part, next(blocks), len(ids) // 4, [x[0] for x in kept]]
+            row += [[len(x[1]) // 4 for x in kept], np.frombuffer(ids, "<u4").astype(width).tobytes()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema
+            )
+
+        held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                coded = enc.encode(text.as_py() or "") + end
-                kept.append((doc_id, coded))
-                held += len(coded) // 4
-                if held >= BLOCK_TOKENS:
-                    yield block()
-                    held = 0
+            for rows in pieces(batch, "text"):
+                coded = enc.encode(flat(rows.column(1)).to_pylist())
+                for doc_id, ids in zip(rows.column(0).to_pylist(), coded, strict=True):
+                    kept.append((doc_id, ids + end))
+                    held += len(ids) // 4 + 1
+                    if held >= BLOCK_TOKENS:
+                        yield block()
+                        kept.clear()
+                        held = 0
         if kept:
             yield block()
 
-    arrow = pa.schema(
-        [
-            ("part", pa.int32()),
-            ("block", pa.int32()),
-            ("n_tokens", pa.int64()),
-            ("doc_ids", pa.list_(pa.int64())),
-            ("lengths", pa.list_(pa.int32())),
-            ("control", pa.binary()),
-            ("data", pa.binary()),
-        ]
-    )
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     )
-    ordered.mapInArrow(code, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    return ordered.mapInArrow(encode, f"{_PLACE}, ids binary")
+
+
+def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) -> None:
+    """Write every text of ``docs`` in ascending doc_id order to ``path``.
+
+    Null and empty texts are just the end id. Rows without doc_id come first; repeated ids stand in
+    the order of their texts' hash and text. An empty table gives files without blocks. Texts are
+    moved and encoded once; the blocks of plain ids are counted and then coded where they lie.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    blocks = written(plain_blocks(docs, vocabulary, end_id), "plain-ids")
+    width = _width(vocabulary)
+    ids = ranked(frequencies(blocks, width))
+    rank_of = np.zeros(max(ids, default=0) + 1, np.uint32)
+    rank_of[np.array(ids, np.int64)] = np.arange(len(ids))
+    ranks = spark.createDataFrame(list(enumerate(ids)), "rank int, id int")
+    ranks.coalesce(1).write.parquet(f"{path}/ranks")
+
+    def code(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                control, data = pack(rank_of[np.frombuffer(one.column(5)[0].as_py(), width)])
+                columns = [*one.columns[:5], pa.array([control]), pa.array([data])]
+                yield pa.RecordBatch.from_arrays(columns, [*one.schema.names[:5], "control", "data"])
+
+    coded = blocks.mapInArrow(code, BLOCKS)
+    coded.write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, list[int]]:
