@@ -235,14 +235,16 @@ def features(mapping="dense", width=DENSE_W, deep=DEEP, lags=LAGS):
     )
     acf_in, acf_out = [], []
     for role, k in zip(("acf_05_bws", "acf_1_bws", "acf_2_bws"), lags, strict=True):
-        y = f"y_{role}"
-        acf_in.append(f"lag(ask, {k}) {over} AS {y}")
-        x = f"CASE WHEN {y} IS NOT NULL THEN ask END"
-        cov = f"avg(ask * {y}) - avg({x}) * avg({y})"
-        var_x = f"greatest(avg(({x}) * ask) - avg({x}) * avg({x}), 0)"
+        lagged = f"y_{role}"
+        acf_in.append(f"lag(ask, {k}) {over} AS {lagged}")
+        # Prices above the lowest of the form keep the digits of small moves.
+        x, y = f"CASE WHEN {lagged} IS NOT NULL THEN ask - lo END", f"({lagged} - lo)"
+        cov = f"avg(({x}) * {y}) - avg({x}) * avg({y})"
+        var_x = f"greatest(avg(({x}) * ({x})) - avg({x}) * avg({x}), 0)"
         var_y = f"greatest(avg({y} * {y}) - avg({y}) * avg({y}), 0)"
+        flat = f"min({x}) = max({x}) OR min({y}) = max({y})"
         acf_out.append(
-            f"CASE WHEN count({y}) = 0 OR sqrt({var_x} * {var_y}) = 0 THEN 0.0 "
+            f"CASE WHEN count({y}) = 0 OR {flat} OR sqrt({var_x} * {var_y}) = 0 THEN 0.0 "
             f"ELSE {r(f'({cov}) / sqrt({var_x} * {var_y})', 3)} END AS {role}"
         )
     return [

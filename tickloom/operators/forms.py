@@ -151,7 +151,7 @@ def _by_width(lags_of: dict[int, tuple[int, int, int]], role: int, column: str):
     )
 
 
-def _first_pass(lags_of):
+def _first_pass():
     ask, move = F.col("ask"), F.col("ask") - F.col("ask_1")
     has_move = F.col("ms_1") >= F.col("from_ms")
     # Of several ticks in the last millisecond the first one counts as the last price.
@@ -170,10 +170,25 @@ def _first_pass(lags_of):
         F.min(down).alias("down_min"),
         F.max(down).alias("down_max"),
     ]
+    return out
+
+
+def _step_width(side: str):
+    spread = F.coalesce(F.col(f"{side}_max") - F.col(f"{side}_min"), F.lit(0.0))
+    return half_up(spread / F.lit(10), 6)
+
+
+def _lag_sums(lags_of):
+    """Sums for the autocorrelations of prices above the form's lowest, so that small moves of a
+    large price keep their digits; the extremes tell a flat side exactly."""
+    out = []
     for i, role in enumerate(ROLES):
         paired = _by_width(lags_of, i, "ms") >= F.col("from_ms")
-        x, y = F.when(paired, ask), F.when(paired, _by_width(lags_of, i, "ask"))
+        x = F.when(paired, F.col("ask") - F.col("low"))
+        y = F.when(paired, _by_width(lags_of, i, "ask") - F.col("low"))
+        flat = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
         out += [
+            flat.alias(f"{role}_flat"),
             F.count(x).alias(f"{role}_n"),
             F.sum(x).alias(f"{role}_x"),
             F.sum(y).alias(f"{role}_y"),
@@ -184,12 +199,7 @@ def _first_pass(lags_of):
     return out
 
 
-def _step_width(side: str):
-    spread = F.coalesce(F.col(f"{side}_max") - F.col(f"{side}_min"), F.lit(0.0))
-    return half_up(spread / F.lit(10), 6)
-
-
-def _second_pass():
+def _second_pass(lags_of):
     ask, ms = F.col("ask"), F.col("db_tsunx")
     step = (F.col("high") - F.col("low")) / F.lit(PEAK_BUCKETS)
     edge = [F.col("low") + step * F.lit(i) for i in range(PEAK_BUCKETS + 1)]
@@ -215,6 +225,7 @@ def _second_pass():
         counted(ms <= t1, "third_1"),
         counted((ms >= t1) & (ms <= t2), "third_2"),
         counted(ms >= t2, "third_3"),
+        *_lag_sums(lags_of),
     ]
 
 
@@ -223,7 +234,7 @@ def _autocorrelation(role: str):
     var_x = F.greatest(mean["xx"] - mean["x"] * mean["x"], F.lit(0.0))
     var_y = F.greatest(mean["yy"] - mean["y"] * mean["y"], F.lit(0.0))
     r = ratio(mean["xy"] - mean["x"] * mean["y"], F.sqrt(var_x * var_y))
-    return F.coalesce(half_up(r, 3), F.lit(0.0))
+    return F.when(F.col(f"{role}_flat"), F.lit(0.0)).otherwise(F.coalesce(half_up(r, 3), F.lit(0.0)))
 
 
 def _price_peak():
@@ -311,7 +322,7 @@ def window_features(
     first = durable(
         match_windows(lagged, windows, bucket_ms, **limits)
         .groupBy(*_WINDOW, "from_ms")
-        .agg(*_first_pass(lags_of)),
+        .agg(*_first_pass()),
         "form-moments",
     )
     extremes = [
@@ -319,13 +330,13 @@ def window_features(
     ]
     second = (
         match_windows(
-            lagged.select("ticker_id", "bucket", "ts", "db_tsunx", "ask", "ask_1", "ms_1"),
+            lagged.drop("seq"),
             first.select(*_WINDOW, "from_ms", *extremes),
             bucket_ms,
             **limits,
         )
         .groupBy(*_WINDOW)
-        .agg(*_second_pass())
+        .agg(*_second_pass(lags_of))
     )
     return _finish(first.join(second, _WINDOW), deep)
 
