@@ -5,8 +5,8 @@ probabilities of its domains. Document rates r >= 0 are then sought so that the
 domain, the sums of rate x tokens x probability, meet the targets: least squares by projected gradient,
 started at rates of one. With G the Gram matrix of the memberships, weighted by tokens, and residuals
 measured by its inverse, a gradient step of length one is the projection onto the rates that meet the
-targets, and the step back to r >= 0 the projection onto the orthant; the two alternate until the
-targets hold. Each step is one distributed sum of as many numbers as there are domains.
+targets, and the step back to r >= 0 the projection onto the orthant; the two alternate, with
+momentum, until the targets hold. Each step is one distributed sum of as many numbers as there are domains.
 DataFrame functions only.
 """
 
@@ -149,20 +149,28 @@ def rated(rows: DataFrame, targets, steps: int = STEPS, close: float = CLOSE) ->
     for (i, j), x in zip(pairs, first, strict=True):
         gram[i, j] = gram[j, i] = x
     inverse = np.linalg.pinv(gram, rcond=1e-10, hermitian=True)
-    goal, rate = np.array(targets, float), F.lit(1.0)
-    rows = rows.withColumn("rate", rate)
+    goal = np.array(targets, float)
+    rows = rows.withColumn("rate", F.lit(1.0)).withColumn("_before", F.lit(1.0))
+    before, error, speed = None, math.inf, 0
     for step in range(1, steps + 1):
-        total = rows.agg(*(F.coalesce(F.sum(n * F.col("rate") * F.col(p)), F.lit(0.0)) for p in names)).first()
-        left = np.array(total) - goal
+        total = np.array(rows.agg(
+            *(F.coalesce(F.sum(n * F.col("rate") * F.col(p)), F.lit(0.0)) for p in names)
+        ).first())
+        left = total - goal
         if np.abs(left).max() <= close * max(1.0, goal.sum()):
             break
-        move = inverse @ left
+        speed = speed + 1 if left @ inverse @ left <= error else 0  # momentum, dropped when it hurts
+        error = left @ inverse @ left
+        push = (speed - 1) / (speed + 2) if speed > 1 and before is not None else 0.0
+        move = inverse @ (left + push * (total - (before if before is not None else total)))
+        before = total
         shift = sum((F.col(p) * float(m) for p, m in zip(names, move, strict=True)), F.lit(0.0))
-        new = F.when(F.col("n_tokens") > 0, F.greatest(F.lit(0.0), F.col("rate") - shift))
-        rows = rows.withColumn("rate", new.otherwise(F.col("rate")))
+        ahead = F.col("rate") + push * (F.col("rate") - F.col("_before"))
+        new = F.when(F.col("n_tokens") > 0, F.greatest(F.lit(0.0), ahead - shift)).otherwise(F.col("rate"))
+        rows = rows.withColumns({"rate": new, "_before": F.col("rate")})
         if step % SPAN == 0:
             rows = written(rows, "rates")
-    return rows
+    return rows.drop("_before")
 
 
 def mixed(
