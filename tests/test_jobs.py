@@ -1,7 +1,9 @@
+import datetime
 import random
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickloom.operators.outcomes import resolved
@@ -132,3 +134,44 @@ def test_resolved_durations_are_whole_seconds(spark):
         "date'1970-01-01' AS ddate_res", "1D AS c_res", "'mx' AS res_type",
     )
     assert rows_of(resolved(hits), "dursec_res") == [(-1,), (2,)]
+
+
+def test_upsert_reads_only_its_days_and_keeps_the_same_row_in_any_order(spark, tmp_path):
+    schema = "k long, ddate string, ts long, v string, m map<string,string>"
+    rows = [(1, "2024-01-01", 5, "a", {"x": "1"}), (1, "2024-01-01", 7, "b", {}), (2, "2024-01-02", 1, None, None)]
+    stored = []
+    for i, order in enumerate((rows, rows[::-1])):
+        path = str(tmp_path / f"t{i}")
+        sinks.upsert(spark.createDataFrame(order, schema), path, ["k", "ddate"])
+        stored.append(rows_of(spark.read.schema(schema).parquet(path), "k", "ts", "v"))
+    assert stored[0] == stored[1] and (1, 7, "b") in stored[0] and len(stored[0]) == 2
+    table = spark.read.schema(schema).parquet(path)
+    found = sinks.of_days(table, spark.createDataFrame(rows[2:], schema))
+    assert len(found.inputFiles()) >= 1 and rows_of(found, "k") == [(2,)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-02" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_second_outcome_run_finds_targets_for_old_bars(store):
+    def bar(i, c, low=None):
+        values = {
+            "ticker_id": 1, "ddate": datetime.date(1970, 1, 1 + i), "bar_width_sec": 30, "ts_begin": i * DAY,
+            "ts_end": i * DAY + 30_000, "o": c, "h": c, "l": low or c, "c": c,
+        }
+        return tuple(values.get(f) for f in BARS.names)
+
+    save = lambda rows: sinks.save_bars(store.spark.createDataFrame(rows, BARS), store.path("bars"))
+    save([bar(1, 1.0), bar(2, 1.001), bar(3, 1.0)])
+    jobs.build_outcomes(store, [0.02])
+    save([bar(4, 1.05, low=1.0)])
+    jobs.build_outcomes(store, [0.02], from_last_day=True)
+    jobs.build_outcomes(store, [0.02])
+    again = rows_of(store.read("bars_fa"), "ts_end", "log_oe", "res_type")
+    assert len(again) == 3
+    jobs.build_outcomes(store, [0.02], incremental=False)
+    assert rows_of(store.read("bars_fa"), "ts_end", "log_oe", "res_type") == again
+
+
+def test_a_missing_input_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        jobs.build_bars(jobs.Store(spark, str(tmp_path / "mistyped")))

@@ -243,6 +243,23 @@ def resolved(hits: DataFrame) -> DataFrame:
     )
 
 
+def bars_unresolved(bars: DataFrame, outcomes: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Bars an incremental outcome run has to search: of each series those from the day of its oldest
+    bar on that lacks an outcome at one of the thresholds. Series without such a bar are left out."""
+    wanted = sorted({float(t) for t in thresholds})
+    keys = [*SERIES, "ddate", "ts_end"]
+    done = (
+        outcomes.where(F.col("log_oe").isin(wanted))
+        .groupBy(*keys)
+        .agg(F.count_distinct("log_oe").alias("_n"))
+        .where(F.col("_n") == len(wanted))
+    )
+    waiting = bars.select(*keys).join(done, keys, "left_anti")
+    since = durable(waiting.groupBy(*SERIES).agg(F.min("ddate").alias("_since")), "unresolved-days")
+    found = checked_join(bars, since, SERIES, "inner", spread=["ddate", "ts_end"])
+    return found.where(F.col("ddate") >= F.col("_since")).drop("_since")
+
+
 def bars_to_analyse(
     bars: DataFrame, outcomes: DataFrame | None = None, latest_only: bool = False
 ) -> DataFrame:

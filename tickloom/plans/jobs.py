@@ -33,6 +33,11 @@ class Store:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str) -> DataFrame:
+        """A table the caller needs: it is an error where it has never been written."""
+        return prepare(self.spark).read.schema(_SCHEMAS[name]).parquet(self.path(name))
+
+    def read_own(self, name: str) -> DataFrame:
+        """A table the caller writes itself: empty before its first run."""
         return sinks.read_or_empty(prepare(self.spark), self.path(name), _SCHEMAS[name])
 
 
@@ -56,7 +61,7 @@ def build_bars(store: Store, mode: str = "first_tick", step_sec: int = 86_400) -
     if mode == "first_tick":
         built = bar_ops.bars_from_first_tick(ticks, items)
     elif mode == "resume":
-        built = resume.bars_resumed(ticks, store.read("bars"), items, step_sec * 1000)
+        built = resume.bars_resumed(ticks, store.read_own("bars"), items, step_sec * 1000)
     elif mode == "chained":
         built = resume.bars_chained(ticks, items, step_sec * 1000)
     else:
@@ -67,10 +72,21 @@ def build_bars(store: Store, mode: str = "first_tick", step_sec: int = 86_400) -
 
 
 def build_outcomes(
-    store: Store, thresholds: list[float], incremental: bool = True, latest_only: bool = False
+    store: Store,
+    thresholds: list[float],
+    incremental: bool = True,
+    latest_only: bool = False,
+    from_last_day: bool = False,
 ) -> None:
-    stored = store.read("bars_fa") if incremental else None
-    todo = outcomes.bars_to_analyse(store.read("bars"), stored, latest_only)
+    """Outcomes of the stored bars. An incremental run starts each series at its oldest bar without
+    an outcome, so a target reached by newer bars is found for old bars too. ``from_last_day``
+    starts at the last day with an outcome instead and leaves older bars as they are."""
+    bars = store.read("bars")
+    if incremental and not (from_last_day or latest_only):
+        todo = outcomes.bars_unresolved(bars, store.read_own("bars_fa"), thresholds)
+    else:
+        stored = store.read_own("bars_fa") if incremental else None
+        todo = outcomes.bars_to_analyse(bars, stored, latest_only)
     found = outcomes.resolved(outcomes.first_hits(todo, thresholds))
     sinks.save_outcomes(found, store.path("bars_fa"))
 
@@ -91,7 +107,7 @@ def build_forms(
     if incremental:
         series = found.select(*schema.SERIES).distinct()
         resume_at = marks.form_resume_marks(
-            series, store.read("bars_forms"), thresholds, deep
+            series, store.read_own("bars_forms"), thresholds, deep
         )
         found = tables.outcomes_since(found, resume_at)
     kept = durable(islands.island_ends(found, koeff), "island-ends")

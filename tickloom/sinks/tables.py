@@ -11,6 +11,9 @@ from ..operators.bars import bars_dates_summary
 from ..plans.durable import durable
 from ..schema import BARS_DATES, KEYS
 
+# Up to so many days (55 years) are stated as values.
+MOST_DAYS = 20_000
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table, or an empty one where nothing has been written yet."""
@@ -33,19 +36,41 @@ def _write_days(rows: DataFrame, path: str, mode: str, **options) -> None:
     )
 
 
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with equal keys the one with the greatest other columns, compared from left to right,
+    whatever order the rows come in."""
+    others = [f for f in rows.schema if f.name not in keys]
+    if not others:
+        return rows.dropDuplicates(keys)
+    order = F.struct(
+        *(
+            F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
+            for f in others
+        )
+    )
+    best = F.max_by(F.struct(*(f.name for f in others)), order).alias("_best")
+    return rows.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*rows.columns)
+
+
+def of_days(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored rows of the days of ``rows``. The days are stated as values, so that other day
+    partitions are not read; more days than a calendar holds are joined instead."""
+    days = rows.select("ddate").distinct()
+    listed = [r[0] for r in days.limit(MOST_DAYS + 1).collect()]
+    if len(listed) > MOST_DAYS:
+        return stored.join(days, "ddate", "left_semi")
+    return stored.where(F.col("ddate").isin(listed))
+
+
 def upsert(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Insert rows, replacing stored rows with the same key.
 
-    Only the day partitions the new rows touch are rewritten. The new days replace the old ones
-    when the job commits; a job that fails before that leaves the table as it was.
+    Only the day partitions the new rows touch are read and rewritten. The new days replace the old
+    ones when the job commits; a job that fails before that leaves the table as it was.
     """
-    fresh = durable(rows.dropDuplicates(keys), "upsert")
+    fresh = durable(one_per_key(rows, keys), "upsert")
     stored = read_or_empty(rows.sparkSession, path, rows.schema)
-    # One row per calendar day.
-    days = F.broadcast(fresh.select("ddate").distinct())
-    kept = stored.join(days, "ddate", "left_semi").join(
-        fresh.select(*keys), keys, "left_anti"
-    )
+    kept = of_days(stored, fresh).join(fresh.select(*keys), keys, "left_anti")
     _write_days(
         kept.unionByName(fresh.select(*kept.columns)),
         path,
