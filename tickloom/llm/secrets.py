@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat, joined_sha, per_text, pieces, small_batches
+from .common import flat, joined_sha, per_text, pieces, small_batches, written
 from .words import mix
 
 KINDS = ("assign", "access", "hex")
@@ -34,6 +34,10 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
+# Java pattern that every text with a base span matches.
+MAY_HOLD = (
+    r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
+)
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+|[^\sA-Za-z0-9+/_.-]")
 _KEY = re.compile(r"(?ai:pass|secret|token|key|auth|cred|bearer)")
 _PREFIX = re.compile(r"(?:AKIA|ASIA|gh[pousr]_|xox[abp]-|sk_|pk_|eyJ|AIza)")
@@ -234,7 +238,11 @@ def hash_of(text: str) -> int:
 
 
 def sampled(docs: DataFrame, most: int = WINDOWS) -> list:
-    """At most ``most`` windows with and ``most`` without a secret, picked by a hash."""
+    """At most ``most`` windows with and ``most`` without a secret, picked by a hash.
+
+    Only as many texts as can fill the sample are cut into windows: those of the lowest hashes
+    among the texts that may hold a base span, and among the others.
+    """
 
     def run(batches):
         for batch in batches:
@@ -248,7 +256,21 @@ def sampled(docs: DataFrame, most: int = WINDOWS) -> list:
                     ["secret", "tokens", "tags", "file", "pick"],
                 )
 
-    made = docs.select("text").mapInArrow(run, WINDOW)
+    # doc_id is in the hash so that a large group of copies does not share one place in the order
+    order, likely = F.xxhash64("doc_id", "text"), F.col("text").rlike(MAY_HOLD)
+    texts = docs.where("text is not null")
+    places = written(texts.select(order.alias("place"), likely.alias("likely")), "sample-places")
+    last = [
+        places.where(F.col("likely") == kind).orderBy("place").limit(most).agg(F.max("place")).first()[0]
+        for kind in (True, False)
+    ]
+    within = order <= max((x for x in last if x is not None), default=0)
+    chosen = F.lit(False)
+    for kind, x in zip((True, False), last, strict=True):
+        if x is not None:
+            chosen = chosen | (likely == kind) & (order <= x)
+    made = texts.where(within & chosen).select("text").mapInArrow(run, WINDOW)
+    made = written(made, "sample-windows")
     return [
         r
         for secret in (True, False)
