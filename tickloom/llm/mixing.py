@@ -26,7 +26,7 @@ FIT_ROWS = 20_000
 # Words share so many buckets; so many of them, the most telling ones, are features.
 BUCKETS, FEATURES = 1 << 16, 512
 STEPS, CLOSE = 60, 1e-7
-# Rates are written after so many steps.
+# While the steps are sought, the numbers they sum are written after so many of them.
 SPAN = 8
 
 
@@ -150,10 +150,12 @@ def rated(rows: DataFrame, targets, steps: int = STEPS, close: float = CLOSE) ->
         gram[i, j] = gram[j, i] = x
     inverse = np.linalg.pinv(gram, rcond=1e-10, hermitian=True)
     goal = np.array(targets, float)
-    rows = rows.withColumn("rate", F.lit(1.0)).withColumn("_before", F.lit(1.0))
+    # The sums need neither ids nor other columns, so only these numbers are written between steps.
+    slim = rows.select("n_tokens", *names, F.lit(1.0).alias("rate"), F.lit(1.0).alias("_before"))
+    taken: list[tuple] = []
     before, error, speed = None, math.inf, 0
     for step in range(1, steps + 1):
-        total = np.array(rows.agg(
+        total = np.array(slim.agg(
             *(F.coalesce(F.sum(n * F.col("rate") * F.col(p)), F.lit(0.0)) for p in names)
         ).first())
         left = total - goal
@@ -164,13 +166,39 @@ def rated(rows: DataFrame, targets, steps: int = STEPS, close: float = CLOSE) ->
         push = (speed - 1) / (speed + 2) if speed > 1 and before is not None else 0.0
         move = inverse @ (left + push * (total - (before if before is not None else total)))
         before = total
-        shift = sum((F.col(p) * float(m) for p, m in zip(names, move, strict=True)), F.lit(0.0))
-        ahead = F.col("rate") + push * (F.col("rate") - F.col("_before"))
-        new = F.when(F.col("n_tokens") > 0, F.greatest(F.lit(0.0), ahead - shift)).otherwise(F.col("rate"))
-        rows = rows.withColumns({"rate": new, "_before": F.col("rate")})
+        taken.append((float(push), *map(float, move)))
+        slim = slim.withColumns({"rate": _stepped(taken[-1]), "_before": F.col("rate")})
         if step % SPAN == 0:
-            rows = written(rows, "rates")
-    return rows.drop("_before")
+            slim = written(slim, "rates")
+    return _replayed(rows, taken)
+
+
+def _moved(rate, before, push, moves) -> Column:
+    """The rate after one step from (rate, before); rows without tokens keep theirs."""
+    shift = sum((F.col(f"p_{d}") * m for d, m in zip(DOMAINS, moves, strict=True)), F.lit(0.0))
+    new = F.greatest(F.lit(0.0), rate + push * (rate - before) - shift)
+    return F.when(F.col("n_tokens") > 0, new).otherwise(rate)
+
+
+def _stepped(step: tuple) -> Column:
+    return _moved(F.col("rate"), F.col("_before"), F.lit(step[0]), [F.lit(m) for m in step[1:]])
+
+
+def _replayed(rows: DataFrame, taken: list[tuple]) -> DataFrame:
+    """Add ``rate``: all steps taken, folded over each row."""
+    if not taken:
+        return rows.withColumn("rate", F.lit(1.0))
+    steps = F.arrays_zip(
+        *(_numbers(column, "double").alias(f"s{k}") for k, column in enumerate(zip(*taken, strict=True)))
+    )
+
+    def fold(state, step):
+        moves = [step[f"s{k + 1}"] for k in range(len(DOMAINS))]
+        new = _moved(state["rate"], state["before"], step["s0"], moves)
+        return F.struct(new.alias("rate"), state["rate"].alias("before"))
+
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("before"))
+    return rows.withColumn("rate", F.aggregate(steps, start, fold, lambda state: state["rate"]))
 
 
 def mixed(
