@@ -260,16 +260,14 @@ def sampled(docs: DataFrame, most: int = WINDOWS) -> list:
     order, likely = F.xxhash64("doc_id", "text"), F.col("text").rlike(MAY_HOLD)
     texts = docs.where("text is not null")
     places = written(texts.select(order.alias("place"), likely.alias("likely")), "sample-places")
-    last = [
-        places.where(F.col("likely") == kind).orderBy("place").limit(most).agg(F.max("place")).first()[0]
+    lowest = [
+        places.where(F.col("likely") == kind).orderBy("place").limit(most).select("place")
         for kind in (True, False)
     ]
-    within = order <= max((x for x in last if x is not None), default=0)
-    chosen = F.lit(False)
-    for kind, x in zip((True, False), last, strict=True):
-        if x is not None:
-            chosen = chosen | (likely == kind) & (order <= x)
-    made = texts.where(within & chosen).select("text").mapInArrow(run, WINDOW)
+    # At most twice ``most`` rows.
+    chosen = F.broadcast(lowest[0].unionByName(lowest[1]).distinct())
+    made = texts.select(order.alias("place"), "text").join(chosen, "place", "left_semi")
+    made = made.select("text").mapInArrow(run, WINDOW)
     made = written(made, "sample-windows")
     return [
         r
