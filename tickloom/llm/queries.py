@@ -13,6 +13,7 @@ from . import (
     mixing,
     neardup,
     pii,
+    prefixes,
     quality,
     rollup,
     secrets,
@@ -139,3 +140,9 @@ def op7_token_totals(spark, sf_dir):
         store.commit(batch, deltas)
     store.compact()
     return store.totals()
+
+
+@register
+def op12_prefix_trie(spark, sf_dir):
+    turns = written(prefixes.ordered_turns(table(spark, sf_dir, "conversations")), "ordered-turns")
+    return prefixes.trie(*prefixes.spliced(turns))

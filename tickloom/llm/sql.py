@@ -110,7 +110,42 @@ t AS (SELECT source, lang, 'space-1' AS version, space AS n FROM f
 SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM t GROUP BY 1, 2, 3
 """
 
+# crc32 of a decimal number's text, by its table of 256.
+_CRC_TABLE = """list_transform(range(256), lambda n: list_reduce([n] || range(8),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+OP12 = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS seq
+  FROM conversations WHERE conv_id IS NOT NULL),
+tab AS (SELECT {_CRC_TABLE} AS crcs),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), tab),
+r AS (SELECT c.conv_id, 0 AS own, seq, role, text FROM c JOIN t ON t.conv_id = c.base AND t.seq < c.h
+  UNION ALL SELECT c.conv_id, 1, seq, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.seq >= c.h),
+p AS (SELECT conv_id, text, row_number() OVER w AS depth,
+  string_agg(md5(md5(role) || text), ',') OVER w AS prefix
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, seq ROWS UNBOUNDED PRECEDING)),
+e AS (SELECT conv_id, 0 AS depth, '' AS prefix, '' AS text FROM c
+  UNION ALL SELECT conv_id, depth, prefix, text FROM p),
+m AS (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS length,
+  min(conv_id) OVER (PARTITION BY depth, prefix) AS name FROM e),
+n AS (SELECT name, depth, count(*) AS n_convs, (count(*) - 1) * length(any_value(text)) AS saved,
+  max(length) = depth AS leaf, coalesce(string_agg(CASE WHEN length = depth THEN conv_id::VARCHAR END,
+    ',' ORDER BY conv_id), '') AS ends FROM m GROUP BY 1, 2),
+up AS (SELECT n.*, m.name AS parent FROM n LEFT JOIN m ON m.conv_id = n.name AND m.depth = n.depth - 1),
+k AS (SELECT parent AS name, depth - 1 AS depth, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY 1, 2),
+s AS (SELECT m.name, m.depth, sum(n.saved) AS saved_tokens, sum(n.leaf::INT) AS n_leaves
+  FROM n JOIN m ON m.conv_id = n.name AND m.depth <= n.depth GROUP BY 1, 2)
+SELECT up.name AS conv_id, up.depth::BIGINT AS depth, up.parent AS parent_conv_id, n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM up JOIN s USING (name, depth) LEFT JOIN k USING (name, depth)
+"""
+
 SQL = {
+    "op12_prefix_trie": OP12,
     "op3_url_filter": OP3,
     "op6_decontamination": OP6,
     "op7_token_totals": OP7,
