@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
+    bytebpe,
     decontam,
     language,
     mixing,
@@ -23,6 +24,7 @@ from . import (
 from .common import documents, table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Rules of the url filter, and words by which a host is on its list.
 RULES = [
@@ -146,3 +148,9 @@ def op7_token_totals(spark, sf_dir):
 def op12_prefix_trie(spark, sf_dir):
     turns = written(prefixes.ordered_turns(table(spark, sf_dir, "conversations")), "ordered-turns")
     return prefixes.trie(*prefixes.spliced(turns))
+
+
+@register
+def op11_byte_bpe(spark, sf_dir):
+    ids = bytebpe.encoded(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    return bytebpe.digest(ids, RANKS)
