@@ -102,7 +102,7 @@ class Vocabulary:
         hashes = byte_hashes(entries)
         if len(np.unique(hashes)) < len(entries):
             raise ValueError("two entries have one 64-bit hash")
-        self.hash = PerfectHash(hashes)
+        self.hash = PerfectHash.of(hashes)
         order = np.argsort(self.hash.index(hashes))
         self.entry = [entries[i] for i in order]
         self.id = np.array([ranks[x] for x in self.entry], np.int64)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
+    align,
     bytebpe,
     decontam,
     language,
@@ -24,6 +25,7 @@ from . import (
 from .common import documents, table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Rules of the url filter, and words by which a host is on its list.
@@ -154,3 +156,8 @@ def op12_prefix_trie(spark, sf_dir):
 def op11_byte_bpe(spark, sf_dir):
     ids = bytebpe.encoded(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
     return bytebpe.digest(ids, RANKS)
+
+
+@register
+def op13_alignment(spark, sf_dir):
+    return align.digest(align.aligned(documents(spark, sf_dir), VOCABULARY, PIECES))
