@@ -1,6 +1,7 @@
 """Operators over whole corpora against brute force, and the pipeline's stages."""
 
 import collections
+import math
 import random
 import re
 
@@ -287,3 +288,66 @@ def test_stages_against_plain_versions(spark):
     rows = sorted((r.start, r.n_tokens) for r in got.collect())
     assert [s for s, _ in rows] == [0, *np.cumsum([n for _, n in rows])[:-1].tolist()]
     assert re.fullmatch(r"[a-z_]+", corpus_pipeline.STAGES[0][0]) and pa
+
+
+def weighted_sets(rows):
+    sets = {}
+    for d, text in rows:
+        w = plain_words(text)
+        grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else {tuple(w): 1}
+        sets[d] = {g: 1 + math.log(n) for g, n in grams.items()}
+    return sets
+
+
+def test_hot_group_of_half_alike_copies_without_listing_its_pairs(spark, monkeypatch):
+    """Copies of one text that are 0.35 to 0.78 alike meet in the same buckets; links among them are
+    found with a number of comparisons that does not grow with the square of their number."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    rows = [edited(rng, base, rng.randrange(8, 24)) for _ in range(500)]
+    rows += [edited(rng, x.split(" "), rng.randrange(1, 3)) for x in rows[:150]]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    sets = weighted_sets(rows)
+    size = {d: sum(s.values()) for d, s in sets.items()}
+    links = []
+    for a in range(0, len(rows)):
+        for b in range(a + 1, len(rows)):
+            shared = sum(min(w, sets[b][g]) for g, w in sets[a].items() if g in sets[b])
+            if shared >= 0.8 * (size[a] + size[b] - shared):
+                links.append((a, b))
+    compared = []
+    plain = neardup.verified
+
+    def counting(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "verified", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs, weighted=True)[0].collect()
+    cls = {r.doc_id: r.class_id for r in found}
+    assert len(links) > 100
+    assert sum(cls[a] == cls[b] for a, b in links) >= 0.9 * len(links)
+    assert sum(compared) < 100 * len(rows)
+    # No class is larger than the links make it.
+    parent = {d: d for d in cls}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        parent[y] = x
+    assert all(top(d) == top(c) for d, c in cls.items())
+
+
+def test_targets_out_of_reach_are_told(spark):
+    docs = [(10, 0.5, 0.3, 0.2), (20, 0.4, 0.4, 0.2), (0, 0.9, 0.1, 0.0)]
+    rows = spark.createDataFrame(docs, "n_tokens long, p_high double, p_low double, p_toxic double")
+    with pytest.warns(UserWarning, match="targets not met"):
+        got = mixing.rated(rows, [30.0, 0.0, 0.0], steps=5).collect()
+    assert all(r.rate >= 0 for r in got)
+    assert [r.rate for r in got if r.n_tokens == 0] == [1.0]

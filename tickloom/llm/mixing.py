@@ -6,11 +6,13 @@ domain, the sums of rate x tokens x probability, meet the targets: least squares
 started at rates of one. With G the Gram matrix of the memberships, weighted by tokens, and residuals
 measured by its inverse, a gradient step of length one is the projection onto the rates that meet the
 targets, and the step back to r >= 0 the projection onto the orthant; the two alternate, with
-momentum, until the targets hold. Each step is one distributed sum of as many numbers as there are domains.
+momentum, until the targets hold. Targets out of reach are approached by weighing single memberships. Each step is one distributed sum of as many numbers as there are domains.
 DataFrame functions only.
 """
 
+import itertools
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,8 @@ BUCKETS, FEATURES = 1 << 16, 512
 STEPS, CLOSE = 60, 1e-7
 # While the steps are sought, the numbers they sum are written after so many of them.
 SPAN = 8
+# Rows at most that are weighed against the mix where steps alone do not meet the targets.
+CORRECTIONS = 12
 
 
 def words_of(text: Column) -> Column:
@@ -42,7 +46,8 @@ def _traits(text: Column) -> Column:
     capitals = F.regexp_count(text, F.lit(r"\p{Lu}")) / size
     lines = F.split(text, "\n")
     repeats = 1 - F.size(F.array_distinct(lines)) / F.size(lines)
-    heads = F.size(F.array_distinct(F.slice(words_of(text), 1, 64))) / F.lit(64)
+    words = words_of(text)
+    heads = F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1))
 
     def step(name, x, at):
         return F.concat(F.lit(f"\n{name}"), sum((F.when(x > a, 1).otherwise(0) for a in at), F.lit(0)))
@@ -133,11 +138,28 @@ def posteriors(docs: DataFrame, model: dict, keep=("doc_id",)) -> DataFrame:
     )
 
 
+def _nonnegative(columns: np.ndarray, goal: np.ndarray, metric: np.ndarray) -> np.ndarray:
+    """Least squares with nonnegative weights of a few columns, by trying every set that can be it."""
+    best, weights = math.inf, np.zeros(columns.shape[1])
+    for size in range(1, len(goal) + 1):
+        for some in map(list, itertools.combinations(range(columns.shape[1]), size)):
+            part = columns[:, some]
+            x = np.linalg.lstsq(part.T @ metric @ part, part.T @ metric @ goal, rcond=None)[0]
+            left = part @ x - goal
+            if (x >= 0).all() and left @ metric @ left < best:
+                best, weights = left @ metric @ left, np.zeros(columns.shape[1])
+                weights[some] = x
+    return weights
+
+
 def rated(rows: DataFrame, targets, steps: int = STEPS, close: float = CLOSE) -> DataFrame:
     """Add ``rate`` to rows with n_tokens and p_<domain>, for ``targets`` in tokens per domain.
 
-    Where the targets cannot be met, the rates come as near as the last step. A domain that nothing
-    belongs to is left alone; so is everything without tokens (rate one).
+    At most ``steps`` projected gradient steps are taken. If the targets are not met by then they may
+    be out of reach, where such steps end slowly: the rows whose weight would help most, found one
+    after the other, are then weighed against the mix so far, up to ``CORRECTIONS`` times. What is left
+    after that is told in a warning. A domain that nothing belongs to is left alone; so is everything
+    without tokens (rate one).
     """
     names = [f"p_{d}" for d in DOMAINS]
     n = F.col("n_tokens").cast("double")
@@ -150,51 +172,90 @@ def rated(rows: DataFrame, targets, steps: int = STEPS, close: float = CLOSE) ->
         gram[i, j] = gram[j, i] = x
     inverse = np.linalg.pinv(gram, rcond=1e-10, hermitian=True)
     goal = np.array(targets, float)
+    near = close * max(1.0, goal.sum())
     # The sums need neither ids nor other columns, so only these numbers are written between steps.
     slim = rows.select("n_tokens", *names, F.lit(1.0).alias("rate"), F.lit(1.0).alias("_before"))
     taken: list[tuple] = []
+
+    def totals(rate) -> np.ndarray:
+        return np.array(slim.agg(*(F.coalesce(F.sum(n * rate * F.col(p)), F.lit(0.0)) for p in names)).first())
+
+    def take(*step):
+        nonlocal slim
+        taken.append(tuple(map(float, step)))
+        rate = _moved(F.col("rate"), F.col("_before"), [F.lit(x) for x in taken[-1]])
+        slim = slim.withColumns({"rate": rate, "_before": F.col("rate")})
+        if len(taken) % SPAN == 0:
+            slim = written(slim, "rates")
+
+    still = [0.0] * len(names)
     before, error, speed = None, math.inf, 0
-    for step in range(1, steps + 1):
-        total = np.array(slim.agg(
-            *(F.coalesce(F.sum(n * F.col("rate") * F.col(p)), F.lit(0.0)) for p in names)
-        ).first())
+    for _ in range(steps):
+        total = totals(F.col("rate"))
         left = total - goal
-        if np.abs(left).max() <= close * max(1.0, goal.sum()):
-            break
+        if np.abs(left).max() <= near:
+            return _replayed(rows, taken)
         speed = speed + 1 if left @ inverse @ left <= error else 0  # momentum, dropped when it hurts
         error = left @ inverse @ left
         push = (speed - 1) / (speed + 2) if speed > 1 and before is not None else 0.0
         move = inverse @ (left + push * (total - (before if before is not None else total)))
         before = total
-        taken.append((float(push), *map(float, move)))
-        slim = slim.withColumns({"rate": _stepped(taken[-1]), "_before": F.col("rate")})
-        if step % SPAN == 0:
-            slim = written(slim, "rates")
+        take(push, *move, 1.0, *still, 0.0)
+    best: dict[tuple, np.ndarray] = {}
+    for _ in range(CORRECTIONS):
+        total = totals(F.col("rate"))
+        left = total - goal
+        error = left @ inverse @ left
+        if np.abs(left).max() <= near:
+            return _replayed(rows, taken)
+        slope = sum((F.col(p) * float(x) for p, x in zip(names, inverse @ left, strict=True)), F.lit(0.0))
+        helpful = slim.where("n_tokens > 0").agg(F.min_by(F.struct(*names), slope)).first()[0]
+        if helpful is None:
+            break
+        same = F.lit(True)
+        for p in names:
+            same &= F.col(p) == helpful[p]
+        weight = slim.where(same).agg(F.sum(n)).first()[0]
+        best.pop(tuple(helpful), None)
+        best = dict([*best.items()][-2:]) | {tuple(helpful): weight * np.array(helpful)}
+        mix = _nonnegative(np.column_stack([total, *best.values()]), goal, inverse)
+        after = np.column_stack([total, *best.values()]) @ mix - goal
+        if after @ inverse @ after >= error * (1 - 1e-9):
+            break
+        for k, (vector, x) in enumerate(zip(best, mix[1:], strict=True)):
+            take(0.0, *still, mix[0] if k == 0 else 1.0, *vector, x)
+    left = totals(F.col("rate")) - goal
+    if np.abs(left).max() > near:
+        off = ", ".join(f"{d} {x:+.0f}" for d, x in zip(DOMAINS, left, strict=True))
+        warnings.warn(f"targets not met, off by (tokens) {off}", stacklevel=2)
     return _replayed(rows, taken)
 
 
-def _moved(rate, before, push, moves) -> Column:
-    """The rate after one step from (rate, before); rows without tokens keep theirs."""
+def _moved(rate, before, step) -> Column:
+    """The rate after one step from (rate, before): push, a move per domain, then a factor, the
+    memberships of the rows to add to and how much. Rows without tokens keep theirs."""
+    push, *rest = step
+    k = len(DOMAINS)
+    moves, factor, vector, more = rest[:k], rest[k], rest[k + 1 : 2 * k + 1], rest[2 * k + 1]
     shift = sum((F.col(f"p_{d}") * m for d, m in zip(DOMAINS, moves, strict=True)), F.lit(0.0))
-    new = F.greatest(F.lit(0.0), rate + push * (rate - before) - shift)
-    return F.when(F.col("n_tokens") > 0, new).otherwise(rate)
-
-
-def _stepped(step: tuple) -> Column:
-    return _moved(F.col("rate"), F.col("_before"), F.lit(step[0]), [F.lit(m) for m in step[1:]])
+    new = factor * F.greatest(F.lit(0.0), rate + push * (rate - before) - shift)
+    same = more > 0
+    for d, x in zip(DOMAINS, vector, strict=True):
+        same &= F.col(f"p_{d}") == x
+    return F.when(F.col("n_tokens") > 0, new + F.when(same, more).otherwise(0.0)).otherwise(rate)
 
 
 def _replayed(rows: DataFrame, taken: list[tuple]) -> DataFrame:
     """Add ``rate``: all steps taken, folded over each row."""
     if not taken:
         return rows.withColumn("rate", F.lit(1.0))
+    width = len(taken[0])
     steps = F.arrays_zip(
         *(_numbers(column, "double").alias(f"s{k}") for k, column in enumerate(zip(*taken, strict=True)))
     )
 
     def fold(state, step):
-        moves = [step[f"s{k + 1}"] for k in range(len(DOMAINS))]
-        new = _moved(state["rate"], state["before"], step["s0"], moves)
+        new = _moved(state["rate"], state["before"], [step[f"s{k}"] for k in range(width)])
         return F.struct(new.alias("rate"), state["rate"].alias("before"))
 
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("before"))

@@ -82,7 +82,7 @@ def token_files(docs):
 
 @register
 def op4_near_duplicates(spark, sf_dir):
-    classes, _ = neardup.near_duplicates(documents(spark, sf_dir))
+    classes, _ = neardup.near_duplicates(documents(spark, sf_dir), weighted=True)
     return classes.select("doc_id", "class_id")
 
 
