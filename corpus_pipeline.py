@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without doc_id are not compared and stay.
     """
-    classes, _ = neardup.near_duplicates(docs)
+    classes, _ = neardup.near_duplicates(docs, weighted=True)
     gone = written(classes.where("doc_id <> class_id").select("doc_id").distinct(), "copies")
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = written(repeated.where("n > 1").select("doc_id"), "repeated")
