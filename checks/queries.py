@@ -4,14 +4,18 @@ Like the jobs, a query reads the stage before it as a stored table. Stages are w
 application and input folder and shared by the queries that start from them.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import bars as bar_ops
+from tickloom.operators import daysummary
 from tickloom.operators import forms as form_ops
 from tickloom.operators import islands as island_ops
 from tickloom.operators import marks, meta, ml, research, resume
 from tickloom.operators import outcomes as outcome_ops
+from tickloom.plans import jobs
 from tickloom.plans.durable import durable
 from tickloom.schema import FORM_PROPS, FORMS, SERIES
 from tickloom.session import prepare, scratch_dir
@@ -132,9 +136,12 @@ class Inputs:
 
     def points(self):
         return meta.resume_points(
-            self.items(), meta.last_bars(self.old_bars()), meta.tick_edges(self.ticks())
+            self.items(), meta.last_bars(self.old_bars()), daysummary.edges(self.tick_days())
         )
 
+    def tick_days(self):
+        return self.stored("tick-days", lambda: daysummary.day_summary(self.ticks()))
+
 
 # --- reads -----------------------------------------------------------------------------------
 
@@ -192,6 +199,17 @@ def ticks_total(x):
     return tables.ticks_count_days(x.ticks()).agg(F.sum("ticks_count").alias("total"))
 
 
+@register
+def counts_stored_twice(x):
+    """The stored day summary after three loads that overlap: up to a day, from that day on, again."""
+    store = jobs.Store(x.spark, f"{scratch_dir(x.spark)}/counts-{uuid.uuid4().hex}")
+    split = F.lit(S.SPLIT_DAY).cast("date")
+    early, late = x.ticks().where(F.col("ddate") <= split), x.ticks().where(F.col("ddate") >= split)
+    for part in (early, late, early):
+        jobs.load_ticks(store, part)
+    return jobs.tick_days(store).select("ticker_id", "ddate", "ticks_count", "first_ts", "last_ts")
+
+
 @register
 def form_keys(x):
     return tables.series_keys(x.forms("sparse", S.SPARSE_W))
@@ -317,14 +335,16 @@ def resume_points(x):
 
 @register
 def read_windows(x):
-    return resume.read_windows(x.ticks(), x.points(), S.STEP_MS).select(
+    return resume.read_windows(x.ticks(), x.points(), S.STEP_MS, x.tick_days()).select(
         *SERIES, "begin_from", "first_read", "read_to"
     )
 
 
 @register
 def bars_resume_step(x):
-    return resume.bars_resumed(x.ticks(), x.old_bars(), x.items(), S.STEP_MS)
+    return resume.bars_resumed(
+        x.ticks(), x.old_bars(), x.items(), S.STEP_MS, x.tick_days()
+    )
 
 
 @register

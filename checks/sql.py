@@ -488,6 +488,12 @@ def oracle():
         "tick_counts_day": query(
             t, "SELECT ticker_id, ddate, count(*) AS ticks_count FROM ticks GROUP BY 1, 2"
         ),
+        "counts_stored_twice": query(
+            t,
+            "SELECT ticker_id, ddate, count(DISTINCT (ts, db_tsunx)) AS ticks_count, "
+            "arg_min(db_tsunx, (ts, db_tsunx)) AS first_ts, arg_max(db_tsunx, (ts, db_tsunx)) "
+            "AS last_ts FROM ticks GROUP BY 1, 2",
+        ),
         "tick_counts_total": query(
             t, "SELECT ticker_id, count(*) AS ticks_count FROM ticks GROUP BY 1"
         ),

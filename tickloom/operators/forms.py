@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up, rank_code, ratio, third_of
+from ..functions.times import utc_day
+from ..plans.days import of_days
 from ..plans.durable import durable
 from ..plans.joins import checked_join
 from ..plans.series import numbered
@@ -67,6 +69,13 @@ def _in_buckets(windows: DataFrame, bucket_ms: int) -> DataFrame:
     return windows.withColumn("bucket", F.explode(F.sequence(first, last)))
 
 
+def _days_of_buckets(buckets: DataFrame, bucket_ms: int) -> DataFrame:
+    """Every day that a bucket reaches into."""
+    begin = F.col("bucket") * bucket_ms
+    days = F.sequence(utc_day(begin), utc_day(begin + (bucket_ms - 1)))
+    return buckets.select("bucket").distinct().select(F.explode(days).alias("ddate")).distinct()
+
+
 def match_windows(ticks: DataFrame, windows: DataFrame, bucket_ms: int, **limits) -> DataFrame:
     """(tick, window) pairs with the tick inside the window: an equi-join on (instrument, time
     bucket), then the exact interval test. ``ticks`` carries ``bucket``.
@@ -86,7 +95,8 @@ def form_ticks(ticks: DataFrame, kept: DataFrame, deep: int, **limits) -> DataFr
     """The ticks of every form, one row per (form window, tick)."""
     windows = durable(form_windows(kept, deep), "form-windows")
     bucket_ms = 1000 * deep * (windows.agg(F.min("bar_width_sec")).first()[0] or 1)
-    bucketed = ticks.withColumn("bucket", F.floor(F.col("db_tsunx") / bucket_ms))
+    days = _days_of_buckets(_in_buckets(windows, bucket_ms), bucket_ms)
+    bucketed = of_days(ticks, days).withColumn("bucket", F.floor(F.col("db_tsunx") / bucket_ms))
     return match_windows(bucketed, windows, bucket_ms, **limits).select(
         *_WINDOW, "ts", "db_tsunx", "ask", "bid"
     )
@@ -307,14 +317,15 @@ def window_features(
         "at_most": sum(r["count"] * (r["bar_width_sec"] // widths[0] + 2) for r in per_width),
         **limits,
     }
-    slim = ticks.select(
+    in_buckets = _in_buckets(windows, bucket_ms)
+    slim = of_days(ticks, _days_of_buckets(in_buckets, bucket_ms)).select(
         "ticker_id",
         "ts",
         "db_tsunx",
         "ask",
         F.floor(F.col("db_tsunx") / bucket_ms).alias("bucket"),
     )
-    touched = _in_buckets(windows, bucket_ms).select("ticker_id", "bucket").distinct()
+    touched = in_buckets.select("ticker_id", "bucket").distinct()
     slim = checked_join(
         slim, touched, ["ticker_id", "bucket"], "left_semi", spread=["db_tsunx", "ts"], **limits
     )

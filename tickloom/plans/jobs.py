@@ -15,6 +15,8 @@ from .durable import durable
 
 _SCHEMAS = {
     "ticks": schema.TICKS,
+    "ticks_days": schema.TICKS_DAYS,
+    "ticks_pending": schema.PENDING_DAYS,
     "tickers": schema.TICKERS,
     "bars_property": schema.BARS_PROPERTY,
     "bars": schema.BARS,
@@ -41,11 +43,19 @@ class Store:
         return sinks.read_or_empty(prepare(self.spark), self.path(name), _SCHEMAS[name])
 
 
+_TICK_TABLES = ("ticks", "ticks_days", "ticks_pending")
+
+
 def load_ticks(store: Store, ticks: DataFrame) -> None:
-    """Copy ticks into the store. Counts per day and in total are computed from what is stored,
-    so loading the same ticks again changes nothing."""
+    """Copy ticks into the store and bring the stored day summary up to date for their days. It is
+    worked out from what is stored, so loading the same ticks again changes nothing."""
     prepare(store.spark)
-    sinks.save_ticks(ticks, store.path("ticks"))
+    sinks.load_ticks(ticks, *map(store.path, _TICK_TABLES))
+
+
+def tick_days(store: Store) -> DataFrame:
+    """The stored summary per instrument and day: counts, first and last tick, range of times."""
+    return sinks.tick_days(prepare(store.spark), *map(store.path, _TICK_TABLES))
 
 
 def build_bars(store: Store, mode: str = "first_tick", step_sec: int = 86_400) -> None:
@@ -61,9 +71,11 @@ def build_bars(store: Store, mode: str = "first_tick", step_sec: int = 86_400) -
     if mode == "first_tick":
         built = bar_ops.bars_from_first_tick(ticks, items)
     elif mode == "resume":
-        built = resume.bars_resumed(ticks, store.read_own("bars"), items, step_sec * 1000)
+        built = resume.bars_resumed(
+            ticks, store.read_own("bars"), items, step_sec * 1000, tick_days(store)
+        )
     elif mode == "chained":
-        built = resume.bars_chained(ticks, items, step_sec * 1000)
+        built = resume.bars_chained(ticks, items, step_sec * 1000, tick_days(store))
     else:
         raise ValueError(f"unknown mode: {mode}")
     built = durable(built, "bars")

@@ -16,6 +16,18 @@ TICKS = _struct(
     bid=T.DoubleType(),
 )
 
+TICKS_DAYS = _struct(
+    ticker_id=T.LongType(),
+    ddate=T.DateType(),
+    ticks_count=T.LongType(),
+    first_ts=T.LongType(),
+    last_ts=T.LongType(),
+    min_tsunx=T.LongType(),
+    max_tsunx=T.LongType(),
+)
+
+PENDING_DAYS = _struct(ddate=T.DateType())
+
 TICKERS = _struct(
     ticker_id=T.LongType(),
     ticker_code=T.StringType(),

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.bars import bars_dates_summary
+from ..operators.daysummary import day_summary
+from ..plans.days import of_days
 from ..plans.durable import durable
-from ..schema import BARS_DATES, KEYS
-
-# Up to so many days (55 years) are stated as values.
-MOST_DAYS = 20_000
+from ..schema import BARS_DATES, KEYS, PENDING_DAYS, TICKS, TICKS_DAYS
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -52,16 +51,6 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*rows.columns)
 
 
-def of_days(stored: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored rows of the days of ``rows``. The days are stated as values, so that other day
-    partitions are not read; more days than a calendar holds are joined instead."""
-    days = rows.select("ddate").distinct()
-    listed = [r[0] for r in days.limit(MOST_DAYS + 1).collect()]
-    if len(listed) > MOST_DAYS:
-        return stored.join(days, "ddate", "left_semi")
-    return stored.where(F.col("ddate").isin(listed))
-
-
 def upsert(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Insert rows, replacing stored rows with the same key.
 
@@ -83,6 +72,44 @@ def save_ticks(ticks: DataFrame, path: str) -> None:
     upsert(ticks, path, KEYS["ticks"])
 
 
+def load_ticks(ticks: DataFrame, path: str, days_path: str, pending_path: str) -> None:
+    """Upsert ticks and bring the day summary up to date, for the days of ``ticks`` only.
+
+    The days are noted as pending before the ticks change and taken off after the summary has; a load
+    that ends in between leaves them noted, and readers work those days out from the ticks.
+    """
+    days = durable(ticks.select("ddate").distinct(), "touched-days")
+    days.write.mode("append").parquet(pending_path)
+    save_ticks(ticks, path)
+    refresh_days(days, path, days_path, pending_path)
+
+
+def refresh_days(days: DataFrame, path: str, days_path: str, pending_path: str) -> None:
+    """Rebuild the day summary of ``days`` and of all pending days from the stored ticks."""
+    spark = days.sparkSession
+    noted = read_or_empty(spark, pending_path, PENDING_DAYS)
+    touched = durable(noted.union(days.select("ddate")).distinct(), "pending-days")
+    stored = of_days(read_or_empty(spark, path, TICKS), touched)
+    summary = day_summary(stored).select(*TICKS_DAYS.names)
+    _write_days(summary, days_path, "overwrite", partitionOverwriteMode="dynamic")
+    touched.limit(0).write.mode("overwrite").parquet(pending_path)
+
+
+def tick_days(spark: SparkSession, path: str, days_path: str, pending_path: str) -> DataFrame:
+    """The stored day summary; pending days, and all days where no summary was ever written, are
+    worked out from the ticks."""
+    ticks = read_or_empty(spark, path, TICKS)
+    stored = read_or_empty(spark, days_path, TICKS_DAYS)
+    if stored.isEmpty():
+        return day_summary(ticks).select(*TICKS_DAYS.names)
+    pending = read_or_empty(spark, pending_path, PENDING_DAYS)
+    if pending.isEmpty():
+        return stored
+    listed = pending.distinct()
+    fresh = day_summary(of_days(ticks, listed)).select(*TICKS_DAYS.names)
+    return stored.join(listed, "ddate", "left_anti").select(*TICKS_DAYS.names).unionByName(fresh)
+
+
 def save_bars(bars: DataFrame, path: str, dates_path: str | None = None) -> None:
     """Upsert bars and append one summary row per series and day of this save."""
     if bars.isEmpty():
