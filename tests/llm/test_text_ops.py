@@ -1,8 +1,10 @@
 """Row-wise operators against plain Python, and their edge cases."""
 
 import hashlib
+import math
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -131,6 +133,76 @@ def test_secret_base_spans(text):
     assert [x[:3] for x in secrets.base_spans(text)] == plain_secrets(text)
 
 
+def plain_shape(t):
+    """Own features of one token, straight from their meaning."""
+    n = len(t)
+    lower, upper, digit = (sum(c in cs for c in t) for cs in (string.ascii_lowercase, string.ascii_uppercase, string.digits))
+    kinds = [0 if c in string.ascii_lowercase else 1 if c in string.ascii_uppercase else 2 if c in string.digits else 3 for c in t]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1)
+    entropy = -sum(t.count(c) / n * math.log2(t.count(c) / n) for c in set(t))
+    one = t if n == 1 else "none"
+    return [
+        1, *(n > k for k in (3, 6, 10, 16, 20, 24, 32, 40)),
+        lower == n, upper == n, digit == n, lower + upper + digit == 0,
+        lower > 0 and digit > 0, upper > 0 and digit > 0, upper > 0 and lower > 0,
+        n > 6 and set(t) <= set("0123456789abcdef"), changes if n > 6 else 0, max(0, entropy - 3) if n > 6 else 0,
+        digit / n, n < 24 and bool(re.search("(?ai:pass|secret|token|key|auth|cred|bearer)", t)),
+        bool(re.match("AKIA|ASIA|gh[pousr]_|xox[abp]-|sk_|pk_|eyJ|AIza", t)),
+        one in "=:", one in "\"'`", one in "@+(.-", t.count(".") > 1, "/" in t or "+" in t,
+    ]
+
+
+SHAPED = st.one_of(
+    st.text("abyzAZ019+/_.-", min_size=1, max_size=300),
+    st.sampled_from(["é", "中", "😀", "=", ":", '"', "(", "@", "\ud800", "ÿ"]),
+    st.sampled_from(["my_Token", "AKIA0", "xAKIA0", "ghp_a1", "eyJ", "sk_live/x", "password" * 4]),
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(SHAPED, max_size=9))
+def test_token_shapes_against_plain_features(tokens):
+    got = secrets.shapes(tokens)
+    assert got.shape == (len(tokens), secrets.OWN)
+    assert np.allclose(got, np.array([plain_shape(t) for t in tokens], float).reshape(-1, secrets.OWN))
+
+
+SPANS = st.lists(st.tuples(st.integers(0, 60), st.integers(1, 9)), max_size=8)
+
+
+@settings(max_examples=200, deadline=None)
+@given(SPANS, SECRET_TEXT)
+def test_tagged_spans_that_touch_a_base_span_are_left_out(pairs, text):
+    tagged = sorted({(b, 0, b + n) for b, n in pairs})
+
+    class Said:
+        def secrets(self, _):
+            return tagged
+
+    _, spans = secrets.found_in(Said(), pa.array([text]))
+    fixed = plain_secrets(text)
+    free = [x for x in tagged if all(x[2] <= b or e <= x[0] for b, _, e in fixed)]
+    assert [tuple(x.values()) for x in spans[0].as_py()] == sorted({*fixed, *free})
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="a.@1 :dot+()", max_size=60), SPANS)
+def test_loose_spans_touch_neither_base_spans_nor_each_other(text, pairs):
+    taken = [(b, 0, b + n) for b, n in pairs]
+    want, edges = [], [(b, e) for b, _, e in taken]
+    for kind, pattern in pii._LOOSE:
+        number = pii.KINDS.index(kind)
+        if number == 0 and not ("dot" in text or "@" in text) or number and not re.search("[0-9]", text):
+            continue
+        if number == 1 and text.count(":") < 7:
+            continue
+        for m in pattern.finditer(text):
+            if all(m.end() <= b or e <= m.start() for b, e in edges):
+                want.append((m.start(), number, m.end()))
+                edges.append(m.span())
+    assert pii.loose_spans(text, taken) == want
+
+
 def test_viterbi_of_stretches_is_the_best_path_of_the_whole_text():
     rng = np.random.default_rng(3)
     moves = rng.normal(size=(3, 3))

@@ -8,6 +8,8 @@ each combination is personal data; these soft labels train the final classifier,
 regression over votes and features, which accepts or refuses the candidates that are not base spans.
 """
 
+import bisect
+import itertools
 import re
 
 import numpy as np
@@ -111,7 +113,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, taken: list) -> list[tuple[int, int, int]]:
     """Further candidates that touch no base span and not each other."""
     out, has_digit = [], _DIGIT.search(text)
-    edges = sorted((b, e) for b, _, e in taken)
+    # Base spans may overlap: of those that start before a place, how far the furthest reaches.
+    starts = sorted(b for b, _, _ in taken)
+    reach = [0, *itertools.accumulate((e for _, _, e in sorted(taken)), max)]
+    mine: list[tuple[int, int]] = []  # disjoint, in order
     for kind, pattern in _LOOSE:
         number = KINDS.index(kind)
         if number == 0 and "dot" not in text and "@" not in text and "DOT" not in text:
@@ -121,9 +126,12 @@ def loose_spans(text: str, taken: list) -> list[tuple[int, int, int]]:
         if number == 1 and text.count(":") < 7:
             continue
         for m in pattern.finditer(text):
-            if all(m.end() <= b or e <= m.start() for b, e in edges):
-                out.append((m.start(), number, m.end()))
-                edges.append((m.start(), m.end()))
+            begin, end = m.span()
+            at = bisect.bisect_left(mine, (end,))
+            free = reach[bisect.bisect_left(starts, end)] <= begin
+            if free and (at == 0 or mine[at - 1][1] <= begin):
+                out.append((begin, number, end))
+                mine.insert(at, (begin, end))
     return out
 
 

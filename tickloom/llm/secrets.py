@@ -9,10 +9,11 @@ its two transitions can weigh, the best path is outside there, so the text falls
 stretches between such tokens.
 """
 
+import bisect
 import dataclasses
-import math
+import itertools
 import re
-from collections import Counter
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ MAY_HOLD = (
 )
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.-]+|[^\sA-Za-z0-9+/_.-]")
 _KEY = re.compile(r"(?ai:pass|secret|token|key|auth|cred|bearer)")
-_PREFIX = re.compile(r"(?:AKIA|ASIA|gh[pousr]_|xox[abp]-|sk_|pk_|eyJ|AIza)")
+_PREFIX = re.compile(r"(?m:^)(?:AKIA|ASIA|gh[pousr]_|xox[abp]-|sk_|pk_|eyJ|AIza)")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -60,36 +61,72 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 _LENGTHS = (3, 6, 10, 16, 20, 24, 32, 40)
 
 
-def _entropy(token: str) -> float:
-    n = len(token)
-    return -sum(c / n * math.log2(c / n) for c in Counter(token).values())
+def _classes(*sets: bytes) -> np.ndarray:
+    """For each byte, the number of the first set that has it, else the number of sets."""
+    out = np.full(256, len(sets), np.uint8)
+    for k in reversed(range(len(sets))):
+        out[np.frombuffer(sets[k], np.uint8)] = k
+    return out
 
 
-def shape(token: str) -> list[float]:
-    """Own features of a token."""
-    lower = sum("a" <= c <= "z" for c in token)
-    upper = sum("A" <= c <= "Z" for c in token)
-    digit = sum("0" <= c <= "9" for c in token)
-    n = len(token)
-    other = n - lower - upper - digit
-    kinds = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in token[:64]]
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, len(kinds) - 1)
-    return [
-        1.0,
-        *(float(n > k) for k in _LENGTHS),
-        float(lower == n), float(upper == n), float(digit == n), float(other == n),
-        float(lower > 0 and digit > 0), float(upper > 0 and digit > 0), float(upper > 0 and lower > 0),
-        float(all(c in "0123456789abcdef" for c in token) and n > 6),
-        changes if n > 6 else 0.0,
-        max(0.0, _entropy(token[:128]) - 3.0) if n > 6 else 0.0,
+_LOWER, _UPPER, _DIGITS = string.ascii_lowercase.encode(), string.ascii_uppercase.encode(), string.digits.encode()
+_CASE = _classes(_LOWER, _UPPER, _DIGITS)
+_HEXADECIMAL = _classes(b"0123456789abcdef") == 0
+_MARKS = _classes(b"=:", b"\"'`", b"@+(.-")
+
+
+def _entropies(data: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Bits a character of each token; ``data`` has the characters, ``owner`` the token of each."""
+    cells, count = np.unique(owner * 256 + data, return_counts=True)
+    part = count / n[cells >> 8]
+    return np.bincount(cells >> 8, -part * np.log2(part), len(n))
+
+
+def shapes(tokens: list[str]) -> np.ndarray:
+    """Own features [n, OWN] of tokens as ``_TOKEN`` finds them, from all their characters: ASCII, or
+    a single character, which counts as none of letter, digit and mark if it is beyond ASCII."""
+    data = np.frombuffer("".join(tokens).encode("latin-1", "replace"), np.uint8)
+    n = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    if not len(n):
+        return np.zeros((0, OWN))
+    begin = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(n)), n)
+
+    def total(flags):
+        return np.add.reduceat(flags, begin, dtype=np.int64)
+
+    case = _CASE[data]
+    lower, upper, digit = (total(case == k) for k in range(3))
+    changed = np.append(False, case[1:] != case[:-1])
+    changed[begin] = False
+    long, single, mark = n > 6, n == 1, _MARKS[data[begin]]
+    chosen = long[owner]
+    place = np.cumsum(long) - 1
+    entropy = np.zeros(len(n))
+    entropy[long] = _entropies(data[chosen], place[owner[chosen]], n[long])
+    # Words that name a secret and beginnings of known keys, found in all tokens at once.
+    lines = "\n" + "\n".join(tokens)
+    starts = begin + np.arange(1, len(n) + 1)
+    named, prefixed = np.zeros(len(n), bool), np.zeros(len(n), bool)
+    for flags, pattern in ((named, _KEY), (prefixed, _PREFIX)):
+        at = np.fromiter((m.end() for m in pattern.finditer(lines)), np.int64)
+        flags[np.searchsorted(starts, at, "left") - 1] = True
+    return np.stack([
+        np.ones(len(n)),
+        *(n > k for k in _LENGTHS),
+        lower == n, upper == n, digit == n, lower + upper + digit == 0,
+        (lower > 0) & (digit > 0), (upper > 0) & (digit > 0), (upper > 0) & (lower > 0),
+        (total(_HEXADECIMAL[data]) == n) & long,
+        np.where(long, total(changed) / np.maximum(1, n - 1), 0.0),
+        np.maximum(0.0, entropy - 3.0),
         digit / n,
-        float(bool(_KEY.search(token)) and n < 24), float(bool(_PREFIX.match(token))),
-        float(token in "=:"), float(token in "\"'`"), float(token in "@+(.-"),
-        float(token.count(".") > 1), float("/" in token or "+" in token),
-    ]
+        named & (n < 24), prefixed,
+        *(single & (mark == k) for k in range(3)),
+        total(data == ord(".")) > 1, total((data == ord("/")) | (data == ord("+"))) > 0,
+    ], axis=1).astype(np.float64)
 
 
-OWN = len(shape("x"))
+OWN = 27
 OFFSETS = (-2, -1, 0, 1)
 FILE = 3
 
@@ -286,7 +323,7 @@ def fitted(docs: DataFrame, most: int = WINDOWS) -> Field | None:
     tags, mask = np.zeros((len(rows), length), int), np.zeros((len(rows), length))
     for i, r in enumerate(rows):
         k = len(r["tokens"])
-        x[i, :k] = [shape(t) for t in r["tokens"]]
+        x[i, :k] = shapes(r["tokens"])
         tags[i, :k], mask[i, :k] = r["tags"], 1
     return fit(x, np.array([r["file"] for r in rows]), tags, mask)
 
@@ -320,8 +357,7 @@ class Tagger:
                 grown = np.zeros((2 * (at + len(new)), len(OFFSETS), 3), np.float32)
                 grown[: len(self.table)] = self.table
                 self.table = grown
-            x = np.array([shape(t) for t in new])
-            self.table[at : at + len(new)] = np.einsum("nf,ofc->noc", x, self.field.near)
+            self.table[at : at + len(new)] = np.einsum("nf,ofc->noc", shapes(new), self.field.near)
             return self._ids(tokens)
 
     def scores(self, text: str, tokens: list[str]) -> np.ndarray:
@@ -377,7 +413,9 @@ def found_in(tagger: Tagger | None, texts: pa.Array):
         text = value.as_py()
         fixed = [(b, k, e) for b, k, e, _ in base_spans(text)]
         tagged = tagger.secrets(text) if tagger else []
-        more = [x for x in tagged if all(x[2] <= b or e <= x[0] for b, _, e in fixed)]
+        starts = [b for b, _, _ in fixed]
+        ends = [0, *itertools.accumulate((e for _, _, e in fixed), max)]
+        more = [x for x in tagged if ends[bisect.bisect_left(starts, x[2])] <= x[0]]
         base.append(fixed)
         spans.append(sorted({*fixed, *more}))
     names = ("start", "kind", "end")
@@ -396,7 +434,9 @@ def secrets(docs: DataFrame, field: Field | None, keep=("doc_id",)) -> DataFrame
 
     ``spans`` has all base spans and the tagged stretches that touch none. Null and empty texts have
     none; without a field there are only base spans. Repeated rows each get their spans; an empty
-    table gives an empty result.
+    table gives an empty result. Very long texts are tagged whole; the work grows with their tokens
+    and spans. Of paths that score alike the one with the lower tags is taken. A kept column named
+    ``base`` or ``spans`` is replaced.
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(field)
