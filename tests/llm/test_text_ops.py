@@ -177,7 +177,7 @@ def test_tagged_spans_that_touch_a_base_span_are_left_out(pairs, text):
 
     class Said:
         def secrets(self, _):
-            return tagged
+            return [tagged]
 
     _, spans = secrets.found_in(Said(), pa.array([text]))
     fixed = plain_secrets(text)
@@ -230,10 +230,13 @@ def test_secrets_are_learned_beyond_the_patterns(spark, odd_docs):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     field = secrets.fitted(docs)
     tagger = secrets.Tagger(field)
-    hits = [tagger.secrets(t) for i, t in rows if i < 1000]
+    hits = tagger.secrets([t for i, t in rows if i < 1000])
     assert sum(len(h) == 1 for h in hits) >= 290
-    assert sum(bool(tagger.secrets(t)) for i, t in rows if i >= 1000) <= 2
-    assert tagger.secrets(f"set the pass = {some(22)} now")
+    assert sum(map(bool, tagger.secrets([t for i, t in rows if i >= 1000]))) <= 2
+    assert tagger.secrets([f"set the pass = {some(22)} now"])[0]
+    # Texts side by side are tagged as each is alone.
+    mixed = ["", *[t for _, t in rows[::7]], "=", "api_key: " + some(40)]
+    assert secrets.Tagger(field).secrets(mixed) == [secrets.Tagger(field).secrets([t])[0] for t in mixed]
     found = secrets.digest(secrets.secrets(odd_docs, field)).collect()
     assert len(found) == odd_docs.count()
     assert secrets.secrets(odd_docs.limit(0), None).count() == 0

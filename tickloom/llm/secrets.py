@@ -345,61 +345,69 @@ class Tagger:
         self.table = np.zeros((0, len(OFFSETS), 3), np.float32)
 
     def _ids(self, tokens: list[str]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
-        except KeyError:
-            if len(self.known) > self.REMEMBERED:
-                self._forget()
-            new = [t for t in dict.fromkeys(tokens) if t not in self.known]
+        if len(self.known) > self.REMEMBERED:
+            self._forget()
+        ids = np.fromiter(map(self.known.get, tokens, itertools.repeat(-1)), np.int64, len(tokens))
+        missing = np.flatnonzero(ids < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(tokens[i] for i in missing))
             at = len(self.known)
-            self.known.update((t, at + i) for i, t in enumerate(new))
+            self.known.update(zip(new, range(at, at + len(new)), strict=True))
             if at + len(new) > len(self.table):
                 grown = np.zeros((2 * (at + len(new)), len(OFFSETS), 3), np.float32)
                 grown[: len(self.table)] = self.table
                 self.table = grown
             self.table[at : at + len(new)] = np.einsum("nf,ofc->noc", shapes(new), self.field.near)
-            return self._ids(tokens)
-
-    def scores(self, text: str, tokens: list[str]) -> np.ndarray:
-        ids = self._ids(tokens)
-        parts = self.table[ids]
-        out = parts[:, OFFSETS.index(0)] + np.array(file_features(text, tokens)) @ self.field.file
+            ids[missing] = [self.known[tokens[i]] for i in missing]
+        return ids
+
+    def scores(self, texts: list[str], tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Tag scores of the tokens of all texts, one after the other, and the text of each."""
+        ids = self._ids(list(itertools.chain.from_iterable(tokens)))
+        owner = np.repeat(np.arange(len(texts)), list(map(len, tokens)))
+        files = np.array([file_features(x, y) for x, y in zip(texts, tokens, strict=True)])
+        out = self.table[ids, OFFSETS.index(0)] + (files.reshape(-1, FILE) @ self.field.file)[owner]
         for k, off in enumerate(OFFSETS):
-            if off < 0:
-                out[-off:] += parts[:off, k]
-            elif off > 0:
-                out[:-off] += parts[off:, k]
-        return out
-
-    def tags(self, text: str, tokens: list[str]) -> list[tuple[int, int]]:
-        """(first token, token after the last) of every secret on the best path."""
-        if not tokens:
-            return []
-        s = self.scores(text, tokens)
+            if off:
+                here, there = slice(max(0, -off), min(0, -off) or None), slice(max(0, off), min(0, off) or None)
+                inside = np.flatnonzero(owner[here] == owner[there])
+                out[inside + max(0, -off)] += self.table[ids[there][inside], k]
+        return out, owner
+
+    def tags(self, texts: list[str], tokens: list[list[str]]) -> list[list[tuple[int, int]]]:
+        """For each text (first token, token after the last) of every secret on the best path."""
+        s, owner = self.scores(texts, tokens)
+        first = np.cumsum([0, *map(len, tokens)])
         warm = np.flatnonzero(s[:, OUTSIDE] - s[:, 1:].max(axis=1) <= self.bound)
-        spans: list[list[int]] = []
-        for stretch in np.split(warm, np.flatnonzero(np.diff(warm) > 1) + 1):
-            if len(stretch):
-                for i, tag in zip(stretch, viterbi(s[stretch], self.field.moves), strict=True):
-                    if tag == BEGIN or tag == INSIDE and not (spans and spans[-1][1] == i):
-                        spans.append([i, i + 1])
-                    elif tag == INSIDE:
-                        spans[-1][1] = i + 1
-        return [(int(a), int(b)) for a, b in spans]
-
-    def secrets(self, text: str) -> list[tuple[int, int, int]]:
-        tokens = _TOKEN.findall(text)
-        found = self.tags(text, tokens)
-        if not found:
-            return []
-        places = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
+        apart = (np.diff(warm) > 1) | (np.diff(owner[warm]) > 0)
+        found: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for stretch in np.split(warm, np.flatnonzero(apart) + 1):
+            if not len(stretch):
+                continue
+            spans: list[list[int]] = []
+            for i, tag in zip(stretch.tolist(), viterbi(s[stretch], self.field.moves), strict=True):
+                if tag == BEGIN or tag == INSIDE and not (spans and spans[-1][1] == i):
+                    spans.append([i, i + 1])
+                elif tag == INSIDE:
+                    spans[-1][1] = i + 1
+            text = int(owner[stretch[0]])
+            found[text] += [(int(a - first[text]), int(b - first[text])) for a, b in spans]
+        return found
+
+    def secrets(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """For each text (start, kind, end) of its secrets."""
         out = []
-        for a, b in found:
-            begin, end = places[a][0], places[b - 1][1]
-            value = text[begin:end]
-            if end - begin >= LEAST:
-                kind = 1 if value.startswith("AKIA") else 2 if re.fullmatch("[0-9a-f]+", value) else 0
-                out.append((begin, kind, end))
+        tagged = self.tags(texts, [_TOKEN.findall(x) for x in texts])
+        for text, found in zip(texts, tagged, strict=True):
+            spans = []
+            places = [m.span() for m in _TOKEN.finditer(text)] if found else []
+            for a, b in found:
+                begin, end = places[a][0], places[b - 1][1]
+                value = text[begin:end]
+                if end - begin >= LEAST:
+                    kind = 1 if value.startswith("AKIA") else 2 if re.fullmatch("[0-9a-f]+", value) else 0
+                    spans.append((begin, kind, end))
+            out.append(spans)
         return out
 
 
@@ -409,10 +417,9 @@ _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int8()), ("end", pa.int32(
 
 def found_in(tagger: Tagger | None, texts: pa.Array):
     base, spans = [], []
-    for value in texts:
-        text = value.as_py()
+    texts = texts.to_pylist()
+    for text, tagged in zip(texts, tagger.secrets(texts) if tagger else itertools.repeat([]), strict=False):
         fixed = [(b, k, e) for b, k, e, _ in base_spans(text)]
-        tagged = tagger.secrets(text) if tagger else []
         starts = [b for b, _, _ in fixed]
         ends = [0, *itertools.accumulate((e for _, _, e in fixed), max)]
         more = [x for x in tagged if ends[bisect.bisect_left(starts, x[2])] <= x[0]]
