@@ -391,6 +391,17 @@ def outcomes_resume(x):
     return outcome_ops.bars_to_analyse(x.bars(), done)
 
 
+@register
+def outcomes_two_runs(x):
+    """Bars up to the split, a job run, the other bars, a second run: the outcomes of one run."""
+    store = jobs.Store(x.spark, f"{scratch_dir(x.spark)}/two-runs-{uuid.uuid4().hex}")
+    day = F.lit(S.SPLIT_DAY).cast("date")
+    for bars in (x.bars().where(F.col("ddate") <= day), x.bars().where(F.col("ddate") > day)):
+        sinks.save_bars(bars, store.path("bars"), store.path("bars_bws_dates"))
+        jobs.build_outcomes(store, list(S.PS))
+    return store.read("bars_fa")
+
+
 @register
 def outcomes_latest_day(x):
     return outcome_ops.bars_to_analyse(x.bars(), latest_only=True)

@@ -581,6 +581,7 @@ def oracle():
             [*bars("dense", DENSE_W), *hits()], "SELECT * FROM hits"
         ),
         "outcomes_resolved": query(outcomes(), "SELECT * FROM fa"),
+        "outcomes_two_runs": query(outcomes(), "SELECT * FROM fa"),
         "outcomes_by_type": query(
             [*bars(), *hits()], "SELECT log_oe, res_type, count(*) AS cnt FROM hits GROUP BY 1, 2"
         ),

@@ -50,17 +50,20 @@ def outcome_label(up: Column, down: Column, low: Column, high: Column) -> Column
     )
 
 
+def target_prices() -> dict[str, Column]:
+    """The two target prices from columns ``c`` and ``log_oe``."""
+    p = F.col("log_oe")
+    return {
+        "up": half_up(F.exp(F.log("c") + p), 4),
+        "down": half_up(F.exp(F.log("c") - p), 4),
+    }
+
+
 def with_targets(bars: DataFrame, thresholds: list[float]) -> DataFrame:
     """Bars times thresholds, with the two target prices of each pair."""
-    p = F.col("log_oe")
     return bars.withColumn(
         "log_oe", F.explode(F.array(*(F.lit(float(t)) for t in thresholds)))
-    ).withColumns(
-        {
-            "up": half_up(F.exp(F.log("c") + p), 4),
-            "down": half_up(F.exp(F.log("c") - p), 4),
-        }
-    )
+    ).withColumns(target_prices())
 
 
 def numbered_bars(bars: DataFrame, order: str = "stored") -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schema
 from ..operators import bars as bar_ops
 from ..operators import forms as form_ops
-from ..operators import islands, marks, meta, outcomes, resume
+from ..operators import islands, marks, meta, opensearch, outcomes, resume
 from ..session import prepare
 from ..sinks import tables as sinks
 from ..sources import tables
+from .days import of_days
 from .durable import durable
 
 _SCHEMAS = {
@@ -90,17 +91,45 @@ def build_outcomes(
     latest_only: bool = False,
     from_last_day: bool = False,
 ) -> None:
-    """Outcomes of the stored bars. An incremental run starts each series at its oldest bar without
-    an outcome, so a target reached by newer bars is found for old bars too. ``from_last_day``
+    """Outcomes of the stored bars. An incremental run reads the days with bars that were not searched
+    yet, searches those bars and answers the searches that earlier runs left open, so a target reached
+    by newer bars is found for old bars too. A full run searches all bars again. ``from_last_day``
     starts at the last day with an outcome instead and leaves older bars as they are."""
     bars = store.read("bars")
-    if incremental and not (from_last_day or latest_only):
-        todo = outcomes.bars_unresolved(bars, store.read_own("bars_fa"), thresholds)
-    else:
+    if from_last_day or latest_only:
         stored = store.read_own("bars_fa") if incremental else None
         todo = outcomes.bars_to_analyse(bars, stored, latest_only)
-    found = outcomes.resolved(outcomes.first_hits(todo, thresholds))
+        found = outcomes.resolved(outcomes.first_hits(todo, thresholds))
+        sinks.save_outcomes(found, store.path("bars_fa"))
+        return
+    waiting = open_searches(store)
+    if incremental:
+        bars = bars_not_searched(store, waiting, thresholds)
+    else:
+        waiting = waiting.where(~waiting.log_oe.isin(*[float(t) for t in thresholds]))
+    found, left = opensearch.outcomes_resumed(bars, waiting, thresholds)
+    # Outcomes first: if the run ends in between, the next one finds and saves the same ones again.
     sinks.save_outcomes(found, store.path("bars_fa"))
+    sinks.save_open(left, *map(store.path, _OPEN_TABLES))
+
+
+_OPEN_TABLES = ("bars_open", "bars_open_runs")
+
+
+def open_searches(store: Store) -> DataFrame:
+    """Searches that found no bar yet, with their targets."""
+    return sinks.open_searches(prepare(store.spark), *map(store.path, _OPEN_TABLES))
+
+
+def bars_not_searched(store: Store, waiting: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Stored bars of the days with bars that come after the searched ones, by the day summary. (Bars
+    added past it to a day that it names are found when that day is saved with its summary.)"""
+    bars = store.read("bars")
+    marks = opensearch.searched_to(waiting, thresholds)
+    reached = durable(opensearch.series_searched_to(marks, thresholds), "searched-series")
+    dates = store.read_own("bars_bws_dates")
+    days = durable(bars.select("ddate").distinct(), "bar-days")
+    return of_days(bars, opensearch.days_to_read(dates, days, reached))
 
 
 def build_forms(

@@ -83,6 +83,19 @@ OUTCOMES = _struct(
     res_type=T.StringType(),
 )
 
+OPEN_SEARCHES = _struct(
+    ticker_id=T.LongType(),
+    ddate=T.DateType(),
+    bar_width_sec=T.IntegerType(),
+    ts_end=T.LongType(),
+    c=T.DoubleType(),
+    log_oe=T.DoubleType(),
+    up=T.DoubleType(),
+    down=T.DoubleType(),
+)
+
+OPEN_RUNS = _struct(run=T.LongType())
+
 FORMS = _struct(
     ticker_id=T.LongType(),
     ddate=T.DateType(),

@@ -11,7 +11,7 @@ from ..operators.bars import bars_dates_summary
 from ..operators.daysummary import day_summary
 from ..plans.days import of_days
 from ..plans.durable import durable
-from ..schema import BARS_DATES, KEYS, PENDING_DAYS, TICKS, TICKS_DAYS
+from ..schema import BARS_DATES, KEYS, OPEN_RUNS, OPEN_SEARCHES, PENDING_DAYS, TICKS, TICKS_DAYS
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -111,20 +111,52 @@ def tick_days(spark: SparkSession, path: str, days_path: str, pending_path: str)
 
 
 def save_bars(bars: DataFrame, path: str, dates_path: str | None = None) -> None:
-    """Upsert bars and append one summary row per series and day of this save."""
+    """Upsert bars and append one summary row per series and day of this save.
+
+    The summary comes first: a save that ends in between names days whose bars are still missing, which
+    readers of the summary then look at in vain, but never leaves bars that no summary names.
+    """
     if bars.isEmpty():
         raise ValueError("no bars to save")
-    upsert(bars, path, KEYS["bars"])
     if dates_path:
         stamp = F.lit(int(time.time() * 1000))
         summary = bars_dates_summary(bars).withColumn("curr_ts", stamp)
         summary.select(*BARS_DATES.names).write.mode("append").parquet(dates_path)
+    upsert(bars, path, KEYS["bars"])
 
 
 def save_outcomes(outcomes: DataFrame, path: str) -> None:
     upsert(outcomes, path, KEYS["bars_fa"])
 
 
+def save_open(searches: DataFrame, path: str, runs_path: str) -> None:
+    """Replace the open searches. The rows of a run go to one of two slots and count once the run is
+    noted; a save that ends before that leaves the rows of the run before, in the other slot."""
+    spark = searches.sparkSession
+    run = _last_run(spark, runs_path) + 1
+    (
+        searches.withColumns({"run": F.lit(run).cast("long"), "slot": F.lit(run % 2)})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("slot")
+        .parquet(path)
+    )
+    spark.createDataFrame([(run,)], OPEN_RUNS).coalesce(1).write.mode("append").parquet(runs_path)
+
+
+def _last_run(spark: SparkSession, runs_path: str) -> int:
+    return read_or_empty(spark, runs_path, OPEN_RUNS).agg(F.max("run")).first()[0] or 0
+
+
+def open_searches(spark: SparkSession, path: str, runs_path: str) -> DataFrame:
+    """The open searches of the last noted run; none before the first."""
+    run = _last_run(spark, runs_path)
+    rows = T.StructType([*OPEN_SEARCHES, *OPEN_RUNS, T.StructField("slot", T.IntegerType())])
+    stored = read_or_empty(spark, path, rows)
+    # An empty run leaves the rows of an older one in its slot.
+    return stored.where((F.col("slot") == run % 2) & (F.col("run") == run)).drop("slot", "run")
+
+
 def save_forms(forms: DataFrame, path: str) -> None:
     upsert(forms, path, KEYS["bars_forms"])
 
