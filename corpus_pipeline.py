@@ -2,8 +2,14 @@
 
 A stage takes (spark, docs, folder of the tables) and returns a DataFrame that is written as Parquet
 and read again for the next. All but the last return the columns of ``documents``.
+
+Stages take null and empty texts, repeated rows, empty tables and very long texts as their operators
+do. Columns beyond doc_id, text and lang travel as one struct, so a column of whatever name comes out as
+it went in.
 """
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +23,31 @@ from tickloom.plans.joins import checked_join
 MIX_SIZE = 1.5
 
 
+# Columns that the operators read; all others are carried along.
+READ = ("doc_id", "text", "lang")
+
+
+def whole_rows(stage):
+    """The stage over rows whose other columns are packed into ``_row``, and unpacked after it."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in READ]
+        row = [F.struct(*(docs[f"`{c}`"] for c in others)).alias("_row")] if others else []
+        found = stage(spark, docs.select(*READ, *row), sf_dir)
+        return found.select(*(F.col("_row")[c].alias(c) if c in others else c for c in docs.columns))
+
+    return run_stage
+
+
+@whole_rows
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language models reject go: no letters, or unlike every learned language."""
     found = language.identified(docs, language.fitted(docs), docs.columns)
     return found.where(~F.col("rejected")).select(docs.columns)
 
 
+@whole_rows
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document of the smallest doc_id stays, once.
 
@@ -40,12 +65,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return others.unionByName(once.dropDuplicates(["doc_id"])).select(docs.columns)
 
 
+@whole_rows
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), docs.columns)
     return found.where(F.size("hits") == 0).select(docs.columns)
 
 
+@whole_rows
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its rate says, so that the domains have their target weights."""
     rated = mixing.mixed(docs, table(spark, sf_dir, "labels"), size=MIX_SIZE, keep=docs.columns)
