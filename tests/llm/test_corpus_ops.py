@@ -351,3 +351,24 @@ def test_targets_out_of_reach_are_told(spark):
         got = mixing.rated(rows, [30.0, 0.0, 0.0], steps=5).collect()
     assert all(r.rate >= 0 for r in got)
     assert [r.rate for r in got if r.n_tokens == 0] == [1.0]
+
+
+CLASHING = ("score", "rejected", "n_words", "hits", "n_tokens", "rate", "p_high", "_n", "_copy", "_part", "_row", "a.b")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_carry_columns_of_any_name(spark, name, stage):
+    folder = "/root/testdata/sf0.001"
+    docs = queries.documents(spark, folder).limit(120)
+    odd = docs.limit(2).withColumns({"text": F.lit(None).cast("string"), "doc_id": F.col("doc_id") + 10**6})
+    odd = odd.unionByName(docs.limit(1).withColumns({"text": F.lit(""), "doc_id": F.lit(2 * 10**6).cast("long")}))
+    docs = queries.written(docs.unionByName(odd), "stage-docs")
+    wide = docs.select("*", *(F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in CLASHING))
+    got = stage(spark, wide, folder)
+    assert got.columns == wide.columns
+    got = got.collect()
+    assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in CLASHING)
+    plain = stage(spark, docs, folder).select("doc_id").collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain)
+    none = stage(spark, wide.limit(0), folder)
+    assert none.columns == wide.columns and none.count() == 0
