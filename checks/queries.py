@@ -584,15 +584,19 @@ def forms_union(x):
     )
 
 
-@register
-def prediction_hits(x):
-    """Scored with the majority label of the form's price code."""
+def _guessed(x):
+    """Forms scored with the majority label of their price code."""
     labels = research.labelled(x.typed(), ["frmconfpeak"])
     guess = research.majority_label(labels).select(
         "frmconfpeak", F.col("label").alias("prediction")
     )
     # At most 28 price codes.
-    return research.prediction_hits(labels.join(F.broadcast(guess), "frmconfpeak"))
+    return labels.join(F.broadcast(guess), "frmconfpeak")
+
+
+@register
+def prediction_hits(x):
+    return research.prediction_hits(_guessed(x))
 
 
 @register
@@ -613,21 +617,42 @@ def string_index(x):
 # --- ML --------------------------------------------------------------------------------------
 
 
+SHARES = [0.7, 0.3]
+
+
 @register
 def split_counts(x):
-    data = durable(ml.prepared(x.typed()), "ml-data")
-    parts = ml.split(data, [0.7, 0.3])
-    names = [p.select(F.lit(n).alias("part")) for n, p in zip(("train", "test"), parts, strict=True)]
-    return names[0].unionByName(names[1]).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
+    """Both parts of an exact split: how many forms, and which."""
+    parts = ml.split(x.typed(), SHARES)
+    named = [p.withColumn("part", F.lit(n)) for n, p in zip(("train", "test"), parts, strict=True)]
+    return named[0].unionByName(named[1]).groupBy("part").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum("ticker_id").alias("ticker_sum"),
+        F.min("ts_end").alias("first_end"),
+        F.max("ts_end").alias("last_end"),
+    )
+
+
+def _tested(x):
+    train, test = (durable(ml.prepared(p), "ml-data") for p in ml.split(x.typed(), SHARES))
+    return ml.perceptron([9, 9, 5, 3]).fit(train).transform(test)
 
 
 @register
 def mlp_accuracy(x):
-    data = durable(ml.prepared(x.typed()), "ml-data")
-    train, test = ml.split(data, [0.7, 0.3])
-    scored = ml.perceptron([9, 9, 5, 3]).fit(train).transform(test)
     right = (F.col("label") == F.col("prediction")).cast("double")
-    return scored.agg(F.avg(right).alias("accuracy"), F.count(F.lit(1)).alias("cnt"))
+    return _tested(x).agg(F.avg(right).alias("accuracy"), F.count(F.lit(1)).alias("cnt"))
+
+
+@register
+def mlp_test_rows(x):
+    """Held-out forms by class, and how many of them got a class and probabilities that add up to 1."""
+    total = F.aggregate(ml.vector_to_array("probability"), F.lit(0.0), lambda a, p: a + p)
+    return _tested(x).groupBy("label").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count_if(F.col("prediction").isin(0, 1, 2)).alias("scored_cnt"),
+        F.count_if(F.abs(total - 1) < 1e-9).alias("whole_cnt"),
+    )
 
 
 @register
@@ -638,21 +663,33 @@ def mlp_by_ticker(x):
 
 
 @register
-def mlp_probabilities(x):
-    scored = ml.perceptron([3, 5, 5, 3]).fit(
-        data := ml.assemble(research.labelled(x.typed(), ["frmconfpeak"]), ["f1", "f2", "f3"])
-    ).transform(data)
-    return ml.with_probabilities(scored)
+def mlp_ticker_forms(x):
+    """Which instruments one model scores, with how many forms."""
+    forms = x.typed("sparse", S.SPARSE_W)
+    found = ml.accuracy_by_ticker(ml.indexed_pipeline([5, 9, 5, 2], 2).fit(forms), forms, x.tickers())
+    return found.select("ticker_id", "forms_cnt", F.col("accuracy").isNotNull().alias("is_scored"))
 
 
-@register
-def mlp_getprob(x):
+def _by_digits(x):
     data = ml.assemble(research.labelled(x.typed(), ["frmconfpeak"]), ["f1", "f2", "f3"])
-    scored = ml.perceptron([3, 5, 5, 3]).fit(data).transform(data)
+    return ml.perceptron([3, 5, 5, 3]).fit(data).transform(data)
+
+
+@register
+def mlp_probabilities(x):
+    return ml.with_probabilities(_by_digits(x))
+
+
+def _publish_scored(x):
     ml.register_getprob(x.spark)
     sinks.publish(
-        scored.withColumn("probability", ml.vector_to_array("probability")), "scored_forms"
+        _by_digits(x).withColumn("probability", ml.vector_to_array("probability")), "scored_forms"
     )
+
+
+@register
+def mlp_getprob(x):
+    _publish_scored(x)
     return x.spark.sql(
         "SELECT frmconfpeak, prediction, getprob(probability, 1) AS p1 "
         "FROM global_temp.scored_forms"
@@ -660,13 +697,28 @@ def mlp_getprob(x):
 
 
 @register
-def logreg_scores(x):
-    forms = x.typed()
+def getprob_totals(x):
+    """Probabilities of all classes, added up over the forms of a price code."""
+    _publish_scored(x)
+    total = " + ".join(f"getprob(probability, {i})" for i in range(3))
+    return x.spark.sql(
+        f"SELECT frmconfpeak, count(*) AS cnt, round(sum({total}), 6) AS total "
+        "FROM global_temp.scored_forms GROUP BY frmconfpeak"
+    )
+
+
+def _saved_and_loaded(x, forms):
     model = ml.logistic_pipeline().fit(forms)
     path = f"{scratch_dir(x.spark)}/logistic-model"
     ml.save_model(model, path)
+    return model, ml.load_model(path)
+
+
+@register
+def logreg_scores(x):
+    forms = x.typed()
     return (
-        ml.load_model(path)
+        _saved_and_loaded(x, forms)[1]
         .transform(forms)
         .groupBy("label", "prediction")
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -674,19 +726,63 @@ def logreg_scores(x):
 
 
 @register
-def libsvm_features(x):
-    """Forms written in libsvm format and read back."""
-    path = f"{scratch_dir(x.spark)}/libsvm-{abs(hash(x.sf_dir))}"
-    ml.prepared(x.typed()).select("label", "features").write.mode("overwrite").format(
-        "libsvm"
-    ).save(path)
+def logreg_reloaded(x):
+    """Forms by class and its index, and how many of them the model scores alike after saving."""
+    forms = x.typed()
+    fitted, loaded = _saved_and_loaded(x, forms)
+    before = ml.vector_to_array("probability").alias("_before")
+    scored = loaded.transform(fitted.transform(forms).select(*forms.columns, before))
+    return scored.groupBy("res_type", "label").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count_if(ml.vector_to_array("probability") == F.col("_before")).alias("same_cnt"),
+    )
+
+
+@register
+def results_stored(x):
+    """Forms with the majority label of their price code as a stored result table, written twice."""
+    path = f"{scratch_dir(x.spark)}/results-{uuid.uuid4().hex}"
+    scored = _guessed(x)
+    sinks.save_result(scored, path, replace=False)
+    sinks.save_result(scored, path)
     return (
-        tables.libsvm(x.spark, path, len(ml.FEATURE_COLUMNS))
-        .groupBy("label")
+        x.spark.read.parquet(path)
+        .groupBy("frmconfpeak", "label", "prediction")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 
+@register
+def libsvm_features(x):
+    """Forms written in libsvm format and read back: range and zeros of each element."""
+    path = f"{scratch_dir(x.spark)}/libsvm-{uuid.uuid4().hex}"
+    ml.prepared(x.typed()).select("label", "features").write.format("libsvm").save(path)
+    read = tables.libsvm(x.spark, path, len(ml.FEATURE_COLUMNS))
+    return (
+        read.select("label", F.posexplode(ml.vector_to_array("features")).alias("element", "value"))
+        .groupBy("label", "element")
+        .agg(
+            F.count(F.lit(1)).alias("cnt"),
+            F.min("value").alias("smallest"),
+            F.max("value").alias("largest"),
+            F.count_if(F.col("value") == 0).alias("zeros"),
+        )
+    )
+
+
+@register
+def forms_limited(x):
+    """The ten longest forms."""
+    span = F.col("ts_end") - F.col("ts_begin")
+    key = [*SERIES, "ts_end", "log_oe", "res_type"]
+    return (
+        x.typed()
+        .select(*key, span.alias("span_ms"))
+        .orderBy(F.desc("span_ms"), *key)
+        .limit(10)
+    )
+
+
 @register
 def sampled_form(x):
     return x.typed().sample(False, 0.5, ml.SEED).limit(1)

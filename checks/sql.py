@@ -430,6 +430,23 @@ MAJORITY = (
     "count(*) AS cnt FROM labelled GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY "
     "frmconfpeak ORDER BY cnt DESC, label) = 1",
 )
+GUESSED = (
+    "guessed",
+    "SELECT l.frmconfpeak, l.label, m.label AS prediction FROM labelled l JOIN majority m "
+    "USING (frmconfpeak)",
+)
+SPLIT_HASH = (
+    "md5(concat_ws('|', '1234', ticker_id::VARCHAR, bar_width_sec::VARCHAR, ts_end::VARCHAR, "
+    "res_type))"
+)
+# Below the hash at seven tenths of the sorted rows: training part.
+PARTS = (
+    "parts",
+    f"SELECT *, CASE WHEN h < (SELECT {SPLIT_HASH} FROM forms ORDER BY 1 LIMIT 1 OFFSET "
+    "(SELECT floor(count(*) * 0.7 + 0.5)::BIGINT FROM forms)) THEN 'train' ELSE 'test' END AS part "
+    f"FROM (SELECT *, {SPLIT_HASH} AS h FROM forms)",
+)
+ELEMENTS = ["f1", "f2", "f3", "sps", "sms", "tcvolprofile", "acf_05_bws", "acf_1_bws", "acf_2_bws"]
 SPARSE_FORMS = ("sparse", SPARSE_W)
 
 
@@ -682,4 +699,45 @@ def oracle():
             "code_index, cnt FROM (SELECT CAST(frmconfpeak AS VARCHAR) AS code, count(*) AS cnt "
             "FROM forms GROUP BY 1)",
         ),
+        "split_counts": query(
+            [*forms(), PARTS],
+            "SELECT part, count(*) AS cnt, sum(ticker_id)::BIGINT AS ticker_sum, min(ts_end) AS "
+            "first_end, max(ts_end) AS last_end FROM parts GROUP BY 1",
+        ),
+        "mlp_test_rows": query(
+            [*forms(), PARTS],
+            "SELECT CASE res_type WHEN 'mx' THEN 1.0::DOUBLE ELSE 2.0 END AS label, count(*) AS cnt, "
+            "count(*) AS scored_cnt, count(*) AS whole_cnt FROM parts WHERE part = 'test' GROUP BY 1",
+        ),
+        "mlp_ticker_forms": query(
+            [*forms(*SPARSE_FORMS), TICKERS],
+            "SELECT t.ticker_id, count(f.ticker_id) AS forms_cnt, count(f.ticker_id) > 0 AS is_scored "
+            "FROM tickers t LEFT JOIN forms f USING (ticker_id) GROUP BY 1",
+        ),
+        "getprob_totals": query(
+            forms(),
+            "SELECT frmconfpeak, count(*) AS cnt, count(*)::DOUBLE AS total FROM forms GROUP BY 1",
+        ),
+        "logreg_reloaded": query(
+            forms(),
+            "SELECT res_type, CAST(row_number() OVER (ORDER BY cnt DESC, res_type) - 1 AS DOUBLE) AS "
+            "label, cnt, cnt AS same_cnt FROM (SELECT res_type, count(*) AS cnt FROM forms GROUP BY 1)",
+        ),
+        "results_stored": query(
+            [*forms(), labelled("frmconfpeak"), MAJORITY, GUESSED],
+            "SELECT frmconfpeak, label, prediction, count(*) AS cnt FROM guessed GROUP BY ALL",
+        ),
+        "libsvm_features": query(
+            [*forms(), labelled(FEATURES)],
+            " UNION ALL ".join(
+                f"SELECT label, {i}::INTEGER AS element, count(*) AS cnt, min({c})::DOUBLE AS smallest, "
+                f"max({c})::DOUBLE AS largest, count(*) FILTER ({c} = 0) AS zeros FROM labelled GROUP BY 1"
+                for i, c in enumerate(ELEMENTS)
+            ),
+        ),
+        "forms_limited": query(
+            forms(),
+            "SELECT ticker_id, bar_width_sec, ts_end, log_oe, res_type, ts_end - ts_begin AS span_ms "
+            "FROM forms ORDER BY span_ms DESC, ticker_id, bar_width_sec, ts_end, log_oe, res_type LIMIT 10",
+        ),
     }

@@ -1,8 +1,12 @@
+import hashlib
+
 import pytest
 from conftest import rows_of
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tickloom.operators import meta, ml, research
+from tickloom.operators import meta, ml, research, splits
 from tickloom.operators.marks import form_resume_marks
 from tickloom.plans.durable import durable
 from tickloom.schema import FORMS
@@ -129,9 +133,36 @@ def test_probabilities_and_getprob(spark, typed):
     assert total == pytest.approx(120)
 
 
-def test_split_is_repeatable(forms, typed):
-    one, two = (ml.split(typed, [0.6, 0.4])[0].count() for _ in range(2))
-    assert one == two and 0 < one < 120
+def test_split_has_exact_shares_however_the_rows_lie(spark, typed):
+    def parts(table):
+        return [rows_of(p, "ts_end") for p in ml.split(table, [0.5, 0.3, 0.2])]
+
+    one = parts(typed)
+    assert [len(p) for p in one] == [60, 36, 24]
+    assert parts(typed.repartition(7, "ts_begin")) == one
+    by_hash = sorted(
+        (hashlib.md5(f"1234|{r.ticker_id}|{r.bar_width_sec}|{r.ts_end}|{r.res_type}".encode()).hexdigest(), r.ts_end)
+        for r in typed.collect()
+    )
+    assert one[0] == sorted((t,) for _, t in by_hash[:60]) and one[2] == sorted((t,) for _, t in by_hash[96:])
+
+
+def test_split_keeps_equal_keys_together_and_takes_odd_input(spark):
+    rows = spark.createDataFrame([(1, None)] * 6 + [(2, "b")] * 4, "k int, v string")
+    found = [p.groupBy("k").count().collect() for p in splits.split(rows, [0.5, 0.5], ["k", "v"], 7)]
+    assert sorted(tuple(r) for p in found for r in p) == [(1, 6), (2, 4)]
+    assert [p.count() for p in splits.split(rows, [1, 0], ["k"], 7)] == [10, 0]
+    assert [p.count() for p in splits.split(rows.limit(0), [0.5, 0.5], ["k"], 7)] == [0, 0]
+    with pytest.raises(ValueError):
+        splits.split(rows, [0.0], ["k"], 7)
+
+
+def test_a_form_of_an_unseen_class_is_an_error(typed):
+    model = ml.logistic_pipeline().fit(typed)
+    odd = typed.limit(1).withColumn("res_type", F.lit("xx"))
+    for other in (odd, odd.withColumn("res_type", F.lit(None).cast("string"))):
+        with pytest.raises((Py4JJavaError, PySparkException)):
+            model.transform(other).collect()
 
 
 def test_string_index_is_by_frequency_then_alphabet(spark):

@@ -13,20 +13,32 @@ OTHER_LABEL_FROM_ZERO = 2
 
 FEATURES = ["frmconfpeak", "sps", "sms", "tcvolprofile", "acf_05_bws", "acf_1_bws", "acf_2_bws"]
 
+# The three digits of the price code.
+_HUNDREDS = "round(frmconfpeak / 100)"
+DIGITS = {
+    "f1": _HUNDREDS,
+    "f2": f"round((frmconfpeak - {_HUNDREDS} * 100) / 10)",
+    "f3": "frmconfpeak % 10",
+}
 
-def label(codes: dict[str, int] = LABELS, other: int = OTHER_LABEL):
-    out = F.lit(other)
-    for name, code in codes.items():
-        out = F.when(F.col("res_type") == name, code).otherwise(out)
-    return out.cast("double")
+
+def label_sql(codes: dict[str, int] = LABELS, other: int = OTHER_LABEL) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {code}" for name, code in codes.items())
+    return f"CASE res_type {cases} ELSE {other} END"
+
+
+def labelled_sql(keep: list[str] = FEATURES, **codes) -> str:
+    """The select list of ``labelled``, with the label as a whole number."""
+    digits = (f"{text} AS {name}" for name, text in DIGITS.items())
+    return f"SELECT {', '.join([f'{label_sql(**codes)} AS label', *keep, *digits])}"
 
 
 def labelled(forms: DataFrame, keep: list[str] = FEATURES, **codes) -> DataFrame:
     """Class label, features, and the three digits of the price code as f1, f2, f3."""
-    code = F.col("frmconfpeak")
-    hundreds = F.round(code / 100)
-    return forms.select(label(**codes).alias("label"), *keep).withColumns(
-        {"f1": hundreds, "f2": F.round((code - hundreds * 100) / 10), "f3": code % 10}
+    return forms.select(
+        F.expr(label_sql(**codes)).cast("double").alias("label"),
+        *keep,
+        *(F.expr(text).alias(name) for name, text in DIGITS.items()),
     )
 
 
