@@ -466,6 +466,19 @@ def forms_map(x):
     return x.typed()
 
 
+@register
+def forms_two_runs(x):
+    """Outcomes up to the split, a job run, the other outcomes, a second run that takes back ends which
+    are none any more: the forms of one run."""
+    store = jobs.Store(x.spark, f"{scratch_dir(x.spark)}/two-form-runs-{uuid.uuid4().hex}")
+    jobs.load_ticks(store, x.ticks("dense"))
+    found, day = x.outcomes("dense", S.DENSE_W), F.lit(S.SPLIT_DAY).cast("date")
+    for part in (found.where(F.col("ddate") <= day), found.where(F.col("ddate") > day)):
+        sinks.save_outcomes(part, store.path("bars_fa"))
+        jobs.build_forms(store, list(S.PS), S.DEEP, S.KOEFF, S.LAGS, retract=True)
+    return tables.typed_forms(store.read("bars_forms"))
+
+
 @register
 def form_high_water(x):
     return marks.form_marks(x.forms())

@@ -629,6 +629,7 @@ def oracle():
         "forms_complete": query(forms(), f"SELECT {form_columns} FROM forms"),
         "forms_sparse": query(forms(*SPARSE_FORMS), f"SELECT {form_columns} FROM forms"),
         "forms_map": query(forms(), f"SELECT {form_columns} FROM forms"),
+        "forms_two_runs": query(forms(), f"SELECT {form_columns} FROM forms"),
         "form_high_water": query(
             forms(),
             "SELECT ticker_id, bar_width_sec, formdeepkoef, log_oe, res_type, max(ddate) AS "

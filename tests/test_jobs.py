@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.outcomes import resolved
 from tickloom.plans import jobs
-from tickloom.schema import BARS, KEYS
+from tickloom.schema import BARS, KEYS, OUTCOMES
 from tickloom.sinks import tables as sinks
 from tickloom.sources import tables, ticks as tick_ops
 
@@ -172,6 +172,32 @@ def test_second_outcome_run_finds_targets_for_old_bars(store):
     assert rows_of(store.read("bars_fa"), "ts_end", "log_oe", "res_type") == again
 
 
+def test_form_runs_take_back_ends_that_later_outcomes_extend(spark, tmp_path, make_ticks):
+    ticks = make_ticks([(1, DAY // 2 + i * 5000, 1.0 + i % 7 / 100, 1.0) for i in range(17_280)])
+    day = lambda ms: datetime.date(1970, 1, 1 + ms // DAY)
+
+    def found(at, way="mx", size=0.02):
+        values = {"ticker_id": 1, "ddate": day(at), "bar_width_sec": 30, "ts_end": at, "c": 1.0, "log_oe": size, "res_type": way}
+        return tuple(values.get(f) for f in OUTCOMES.names)
+
+    # The run that ends the first day goes on after midnight; one end comes in late and splits nothing;
+    # one run between others appears late; another threshold is not touched.
+    early = [found(DAY - 30_000), found(DAY + 600_000, "mn"), found(DAY - 30_000, "mx", 0.5)]
+    late = [found(DAY), found(DAY + 630_000, "mn"), found(DAY + 300_000), found(DAY + 570_000, "mn")]
+    stores = [jobs.Store(spark, str(tmp_path / n)) for n in ("runs", "once")]
+    for s, parts in zip(stores, ([early, late, late], [early + late]), strict=True):
+        jobs.load_ticks(s, ticks)
+        for part in parts:
+            sinks.save_outcomes(spark.createDataFrame(part, OUTCOMES), s.path("bars_fa"))
+            jobs.build_forms(s, [0.02], retract=True)
+            if part is early:
+                assert rows_of(s.read("bars_forms"), "ts_end") == [(DAY - 30_000,), (DAY + 600_000,)]
+    runs, once = (s.read("bars_forms").withColumn("formprops", F.to_json("formprops")) for s in stores)
+    assert rows_of(runs, *once.columns) == rows_of(once, *once.columns)
+    # The first day has no end any more.
+    assert rows_of(runs, "ts_end") == [(DAY,), (DAY + 300_000,), (DAY + 630_000,)]
+
+
 def test_a_missing_input_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         jobs.build_bars(jobs.Store(spark, str(tmp_path / "mistyped")))

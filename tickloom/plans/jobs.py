@@ -3,6 +3,7 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema
 from ..operators import bars as bar_ops
@@ -132,6 +133,10 @@ def bars_not_searched(store: Store, waiting: DataFrame, thresholds: list[float])
     return of_days(bars, opensearch.days_to_read(dates, days, reached))
 
 
+# What tells the end of one run of outcomes from another.
+_END = [*schema.SERIES, "ts_end", "log_oe", "res_type"]
+
+
 def build_forms(
     store: Store,
     thresholds: list[float],
@@ -140,19 +145,34 @@ def build_forms(
     lags: tuple[int, int, int] | None = None,
     incremental: bool = True,
     clip_to_first: bool = False,
+    retract: bool = False,
 ) -> None:
-    """Forms of the last bar of each run of outcomes. An incremental run goes on from the stored
-    forms; the end of a run saved earlier stays even if a later bar extends that run."""
+    """Forms of the last bar of each run of outcomes.
+
+    An incremental run goes on from the stored forms; the end of a run saved earlier stays even if a
+    later bar extends that run. With ``retract`` the ends are worked out from all outcomes, which needs
+    no ticks: forms are built for the ends that have none yet, and stored forms whose bar is no longer
+    an end are taken back. With the same parameters the table is then that of one run over everything,
+    however many runs led to it and whenever an outcome came in.
+    """
     found = store.read("bars_fa")
-    found = found.where(found.log_oe.isin(*[float(t) for t in thresholds]))
-    if incremental:
+    wanted = [float(t) for t in thresholds]
+    found = found.where(found.log_oe.isin(*wanted))
+    gone = None
+    if incremental and not retract:
         series = found.select(*schema.SERIES).distinct()
         resume_at = marks.form_resume_marks(
             series, store.read_own("bars_forms"), thresholds, deep
         )
         found = tables.outcomes_since(found, resume_at)
     kept = durable(islands.island_ends(found, koeff), "island-ends")
+    if retract:
+        stored = store.read_own("bars_forms").where(F.col("log_oe").isin(*wanted))
+        gone = stored.join(kept.select(*_END), _END, "left_anti")
+        if incremental:
+            current = stored.where(F.col("formdeepkoef") == deep).select(*_END)
+            kept = durable(kept.join(current, _END, "left_anti"), "new-ends")
     built = form_ops.build_forms(store.read("ticks"), kept, deep, lags, clip_to_first)
     sinks.save_forms(
-        form_ops.with_prop_map(form_ops.complete(built)), store.path("bars_forms")
+        form_ops.with_prop_map(form_ops.complete(built)), store.path("bars_forms"), gone
     )

@@ -51,21 +51,29 @@ def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*rows.columns)
 
 
-def upsert(rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Insert rows, replacing stored rows with the same key.
+def upsert(rows: DataFrame, path: str, keys: list[str], gone: DataFrame | None = None) -> None:
+    """Insert rows, replacing stored rows with the same key; stored rows with a key of ``gone`` go.
 
-    Only the day partitions the new rows touch are read and rewritten. The new days replace the old
-    ones when the job commits; a job that fails before that leaves the table as it was.
+    Only the day partitions that the keys name are read and rewritten. The new days replace the old
+    ones when the job commits; a job that fails before that leaves the table as it was. Days of
+    ``gone`` that are left without rows are emptied after that, so a save that ends in between is to
+    be repeated.
     """
     fresh = durable(one_per_key(rows, keys), "upsert")
     stored = read_or_empty(rows.sparkSession, path, rows.schema)
-    kept = of_days(stored, fresh).join(fresh.select(*keys), keys, "left_anti")
-    _write_days(
-        kept.unionByName(fresh.select(*kept.columns)),
-        path,
-        "overwrite",
-        partitionOverwriteMode="dynamic",
-    )
+    named = fresh.select(*keys)
+    if gone is not None:
+        gone = durable(gone.select(*keys).distinct(), "gone")
+        named = named.unionByName(gone)
+    kept = of_days(stored, named).join(named, keys, "left_anti")
+    days = kept.unionByName(fresh.select(*kept.columns))
+    emptied = []
+    if gone is not None:
+        lost = gone.select("ddate").distinct().join(days.select("ddate").distinct(), "ddate", "left_anti")
+        emptied = [r[0] for r in lost.where("ddate is not null").collect()]  # calendar days
+    _write_days(days, path, "overwrite", partitionOverwriteMode="dynamic")
+    for day in emptied:
+        fresh.limit(0).drop("ddate").write.mode("overwrite").parquet(f"{path}/ddate={day}")
 
 
 def save_ticks(ticks: DataFrame, path: str) -> None:
@@ -157,8 +165,8 @@ def open_searches(spark: SparkSession, path: str, runs_path: str) -> DataFrame:
     return stored.where((F.col("slot") == run % 2) & (F.col("run") == run)).drop("slot", "run")
 
 
-def save_forms(forms: DataFrame, path: str) -> None:
-    upsert(forms, path, KEYS["bars_forms"])
+def save_forms(forms: DataFrame, path: str, gone: DataFrame | None = None) -> None:
+    upsert(forms, path, KEYS["bars_forms"], gone)
 
 
 def save_result(result: DataFrame, path: str, replace: bool = True) -> None:
