@@ -233,6 +233,26 @@ def test_url_verdicts_and_edges(spark):
 # ---- rollups
 
 
+def test_a_batch_committed_during_compaction_counts_once(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "en", 5), (None, None, 7)], "source string, lang string, n long")
+    rows = rollup.signed(docs, "v1", "n")
+
+    class Racing(rollup.Totals):
+        def _summed(self, path, batches):
+            rollup.Totals(self.spark, self.path).commit("late", rows)
+            return super()._summed(path, batches)
+
+    store = rollup.Totals(spark, str(tmp_path / "raced"))
+    store.commit("first", rows)
+    Racing(spark, store.path).compact()
+    want = [("a", "en", 2, 10), (None, None, 2, 14)]
+    for _ in range(2):
+        found = store.totals().select("source", "lang", "docs", "tokens").collect()
+        assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+        assert store.committed() == ["first", "late"] and not store.commit("late", rows)
+        store.compact()
+
+
 def test_rollup_commits_are_idempotent_and_additive(spark, tmp_path):
     store = rollup.Totals(spark, str(tmp_path / "totals"))
     assert store.totals().count() == 0

@@ -57,7 +57,7 @@ class Totals:
         behind is overwritten."""
         if not batch or not batch.replace("-", "").replace("_", "").isalnum():
             raise ValueError(f"not a batch id: {batch!r}")
-        if batch in self.committed():
+        if self._exists(f"{self.path}/batches/{batch}/_SUCCESS") or batch in self._snapshot()[1]:
             return False
         summed(deltas).write.mode("overwrite").parquet(f"{self.path}/batches/{batch}")
         return True
@@ -73,24 +73,34 @@ class Totals:
         path = f"{self.path}/snapshots/{max(names)}"
         return path, [r[0] for r in self.spark.read.parquet(f"{path}").select(F.explode("batches")).distinct().collect()]
 
-    def totals(self) -> DataFrame:
-        """Totals of all committed batches; groups whose documents and tokens are all gone are left
-        out. Null sources and languages are groups like others; no batch, no rows."""
+    def _listed(self) -> tuple[str | None, list[str], list[str]]:
+        """Newest snapshot, the batches in it, and the committed ones beside it."""
         path, held = self._snapshot()
-        parts = [f"{self.path}/batches/{b}" for b in self._names("batches") if b not in held]
+        return path, held, [b for b in self._names("batches") if b not in held]
+
+    def _summed(self, path: str | None, batches: list[str]) -> DataFrame:
         rows = self.spark.createDataFrame([], DELTA)
-        if parts:
-            rows = rows.unionByName(self.spark.read.schema(DELTA).parquet(*parts))
+        if batches:
+            folders = [f"{self.path}/batches/{b}" for b in batches]
+            rows = rows.unionByName(self.spark.read.schema(DELTA).parquet(*folders))
         if path:
             rows = rows.unionByName(self.spark.read.parquet(path).drop("batches"))
         return summed(rows).where("docs <> 0 or tokens <> 0")
 
+    def totals(self) -> DataFrame:
+        """Totals of all committed batches; groups whose documents and tokens are all gone are left
+        out. Null sources and languages are groups like others; no batch, no rows."""
+        path, _, batches = self._listed()
+        return self._summed(path, batches)
+
     def compact(self) -> None:
-        """Fold all committed batches into a new snapshot; readers switch when it is whole."""
-        names = self.committed()
+        """Fold all committed batches into a new snapshot; readers switch when it is whole. The batches
+        are listed once: the snapshot sums and names the same ones, and a batch committed meanwhile is
+        in neither."""
+        path, held, batches = self._listed()
         number = f"{len(self._names('snapshots')) + 1:08d}"
-        batches = F.array(*(F.lit(b) for b in names)).cast("array<string>")
-        kept = summed(self.totals()).withColumn("batches", batches)
+        names = F.array(*(F.lit(b) for b in sorted({*held, *batches}))).cast("array<string>")
+        kept = self._summed(path, batches).withColumn("batches", names)
         kept.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshots/{number}")
 
 

@@ -4,7 +4,7 @@ Each id is replaced by its rank by frequency over the whole corpus (0 the common
 1 to 4 bytes. The lengths, two bits an id, stand apart in control bytes, four ids to a byte, so a
 reader finds all positions from the control bytes by table lookup and never tests a bit per id.
 
-The files are a Parquet folder ``blocks`` (one row per block of whole documents: where it begins,
+The files are a Parquet folder ``blocks`` (one row per block of whole documents: the ids before it in its partition,
 doc_ids, tokens per document, control bytes, data bytes) and a Parquet folder ``ranks`` (rank, id).
 Parquet lets every store that Spark writes hold the bytes, with Spark's commit for lost executors.
 """
@@ -172,7 +172,7 @@ def unpack(control: bytes, data: bytes, n: int, ids: np.ndarray) -> np.ndarray:
     return ids[rank]
 
 
-_PLACE = "part int, block int, n_tokens long, doc_ids array<long>, lengths array<int>"
+_PLACE = "part int, block int, before long, n_tokens long, doc_ids array<long>, lengths array<int>"
 BLOCKS = f"{_PLACE}, control binary, data binary"
 
 
@@ -185,10 +185,13 @@ def plain_blocks(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     def encode(batches):
         part, blocks, enc = TaskContext.get().partitionId(), itertools.count(), encoder(vocabulary)
         kept: list[tuple] = []
+        before = 0
 
         def block():
+            nonlocal before
             ids = b"".join(x[1] for x in kept)
-            row = [part, next(blocks), len(ids) // 4, [x[0] for x in kept]]
+            row = [part, next(blocks), before, len(ids) // 4, [x[0] for x in kept]]
+            before += len(ids) // 4
             row += [[len(x[1]) // 4 for x in kept], np.frombuffer(ids, "<u4").astype(width).tobytes()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema
@@ -237,9 +240,10 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) ->
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
-                control, data = pack(rank_of[np.frombuffer(one.column(5)[0].as_py(), width)])
-                columns = [*one.columns[:5], pa.array([control]), pa.array([data])]
-                yield pa.RecordBatch.from_arrays(columns, [*one.schema.names[:5], "control", "data"])
+                control, data = pack(rank_of[np.frombuffer(one.column("ids")[0].as_py(), width)])
+                place = one.drop_columns(["ids"])
+                columns = [*place.columns, pa.array([control]), pa.array([data])]
+                yield pa.RecordBatch.from_arrays(columns, [*place.schema.names, "control", "data"])
 
     coded = blocks.mapInArrow(code, BLOCKS)
     coded.write.option("compression", "zstd").parquet(f"{path}/blocks")
@@ -248,24 +252,18 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID) ->
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, list[int]]:
     """(blocks with ``start``, the ids written before each block; id of each rank).
 
-    The totals summed by the window are one row per written partition; blocks of a partition are
-    added up inside it.
+    A block knows the ids before it in its partition. The totals summed by the window and sent to all
+    tasks are two numbers per written partition, whatever the number of blocks.
     """
     blocks = spark.read.schema(T._parse_datatype_string(BLOCKS)).parquet(f"{path}/blocks")
     ids = [r[0] for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").select("id").collect()]
     totals = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_part_start")
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_part_start")
     )
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocks.select(
-        "part", "block", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("_in_part")
-    )
-    at = sizes.join(starts, "part").select(
-        "part", "block", (F.col("_part_start") + F.col("_in_part")).alias("start")
-    )
-    return blocks.join(F.broadcast(at), ["part", "block"]), ids
+    placed = blocks.join(F.broadcast(starts), "part")
+    return placed.withColumn("start", F.col("_part_start") + F.col("before")), ids
 
 
 def decoded(spark: SparkSession, path: str, fields: str, summary) -> DataFrame:
