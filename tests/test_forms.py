@@ -113,6 +113,18 @@ def test_empty_single_and_flat_forms(spark, make_ticks):
     assert rows_of(complete(build_forms(ticks, kept, 3, (1, 2, 4))), "ticker_id") == [(3,)]
 
 
+def test_constant_prices_have_no_moves_and_no_correlation(spark, make_ticks):
+    # Prices whose squares and sums do not fit a double exactly, and lengths that do not divide evenly.
+    prices = [0.07, 0.1, 0.3, 1.1, 1.13507, 3.3, 99.99, 1234.56789, 33_333.333, 100_000.0]
+    ticks = make_ticks([(t, 1000 * i, p, p) for t, p in enumerate(prices) for i in range(23 + t)])
+    ends = [(t, 1, 1000 * (22 + t)) for t in range(len(prices))]
+    got = build_forms(ticks, kept_frame(spark, ends), deep=20, lags=(1, 2, 4)).collect()
+    assert len(got) == len(prices)
+    for r in got:
+        assert (r.frmconfpeak, r.sps, r.sms) == (333, 0.0, 0.0), r
+        assert (r.acf_05_bws, r.acf_1_bws, r.acf_2_bws) == (0.0, 0.0, 0.0), r
+
+
 @pytest.mark.parametrize(
     "options", [{}, {"small_rows": 0, "hot_rows": 15, "slice_rows": 10, "block": 7}]
 )

@@ -12,8 +12,3 @@ def utc_day(ms: Column) -> Column:
 def whole_seconds(ms: Column) -> Column:
     """Milliseconds to seconds, truncated towards zero as integer division does."""
     return F.when(ms >= 0, F.floor(ms / F.lit(1000))).otherwise(F.ceil(ms / F.lit(1000)))
-
-
-def days_between(first: Column, last: Column) -> Column:
-    """Every calendar day from first to last, as an array."""
-    return F.sequence(first, last, F.expr("interval 1 day"))

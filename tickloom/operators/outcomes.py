@@ -118,7 +118,7 @@ def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFram
         level += 1
 
 
-def _advance(open_searches, lists, top, fanout, open_rows, hot_rows) -> DataFrame:
+def _advance(open_searches, lists, fanout, open_rows, hot_rows) -> DataFrame:
     """One round: look at the siblings from the cursor on and move down, up, or finish.
 
     A finished search has level -1 and ``hit_seq``; one that went past the top found nothing.
@@ -186,7 +186,7 @@ def first_hits(
         if open_rows == 0:
             break
         state = durable(
-            _advance(searches, lists, top, fanout, open_rows, hot_rows), "search-round"
+            _advance(searches, lists, fanout, open_rows, hot_rows), "search-round"
         )
         found.append(state.where(F.col("level") < 0).select(*_SEARCH, "hit_seq"))
         searches = state.where(F.col("level").between(0, top)).drop("hit_seq")
