@@ -1,6 +1,7 @@
 """Operators over whole corpora against brute force, and the pipeline's stages."""
 
 import collections
+import itertools
 import math
 import random
 import re
@@ -364,6 +365,52 @@ def test_hot_group_of_half_alike_copies_without_listing_its_pairs(spark, monkeyp
     assert all(top(d) == top(c) for d, c in cls.items())
 
 
+@pytest.mark.parametrize("block", [4096, 5])
+def test_every_link_of_a_bucket_of_many_classes_is_found(spark, monkeypatch, block):
+    """Many small classes meet in one bucket: links outside its largest classes are not lost."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(5)
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = []
+    for family in range(40):
+        own = [f"f{family}w{rng.randrange(3000)}" for _ in range(40)]
+        rows += [f"{shared} {edited(rng, own, n)}" for n in (0, 1, 1)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    found = neardup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), weighted=True, n_bands=1, rows=1
+    )[0]
+    cls = {r.doc_id: r.class_id for r in found.collect()}
+    band = neardup.sign(pa.array([t for _, t in rows]), True, 1, 1)[3].to_pylist()
+    sets = weighted_sets(rows)
+    size = {d: sum(s.values()) for d, s in sets.items()}
+    links = []
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = sum(min(w, sets[b][g]) for g, w in sets[a].items() if g in sets[b])
+        if band[a] == band[b] and both >= 0.8 * (size[a] + size[b] - both):
+            links.append((a, b))
+    assert len(links) > 50
+    assert all(cls[a] == cls[b] for a, b in links)
+
+
+def test_cells_never_rule_out_a_similar_pair():
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+    texts = [edited(rng, base, rng.randrange(16)) for _ in range(60)] + [" ".join(base[:150] * 40)]
+    cells = np.frombuffer(b"".join(neardup.cell_sums(pa.array(texts), True).to_pylist()), np.float16)
+    cells = cells.reshape(len(texts), neardup.CELLS).astype(np.float32)
+    own = np.arange(len(texts))
+    left = {
+        (min(i, x), max(i, x))
+        for i, j in neardup.open_pairs(own, 0 * own, cells, 0.8)
+        for x in j
+    }
+    pairs = list(itertools.combinations(range(len(texts)), 2))
+    near = neardup.compare([texts[a] for a, _ in pairs], [texts[b] for _, b in pairs], True) >= 0.8
+    similar = {p for p, x in zip(pairs, near, strict=True) if x}
+    assert similar <= left and len(similar) > 20 and len(left) < len(pairs)
+
+
 def test_targets_out_of_reach_are_told(spark):
     docs = [(10, 0.5, 0.3, 0.2), (20, 0.4, 0.4, 0.2), (0, 0.9, 0.1, 0.0)]
     rows = spark.createDataFrame(docs, "n_tokens long, p_high double, p_low double, p_toxic double")

@@ -3,16 +3,22 @@
 Texts are sets of five-word shingles (a shorter text is one shingle of all its words). In weighted sets
 a shingle that occurs n times weighs 1 + ln n, so that a phrase repeated for pages does not outweigh the
 rest. Texts with equal sets are one node from the start, so exact copies cost one row each. Nodes that
-share a band of their signatures are candidates. No step lists all pairs of a bucket; each compares
-every node of a bucket with at most two others of it:
+share a band of their signatures are candidates. The first steps compare every node of a bucket with at
+most two others of it:
 
 1. with the best centre of all its buckets (the node that meets most others),
 2. with the centre of each bucket, where those are still in different classes,
 3. in buckets that still hold several classes, and then in ever other parts of them that also share a
    second band: with one node of the bucket's largest class and one of the largest other class.
 
-Each comparison is exact, on whole texts: a link is a Jaccard similarity of at least the limit. After each step the classes are the connected components of the links so far, so a
-bucket that became one class is never looked at again.
+Then come all other candidates: every two nodes of a bucket that are still in different classes. They are
+not joined: a bucket is cut into blocks, and a task goes through two blocks at a time and rules out the
+pairs that cannot be similar by weights that are summed in cells of the shingles' hashes. Only pairs that
+this bound leaves open become rows.
+
+Each comparison is exact, on whole texts: a link is a Jaccard similarity of at least the limit. After
+each step the classes are the connected components of the links so far, so a bucket that became one class
+is never looked at again. In the end every candidate is in one class, compared, or ruled out by a bound.
 """
 
 import numpy as np
@@ -31,6 +37,8 @@ BANDS, ROWS = 32, 7
 # Narrowed buckets that mixed ones are looked at in, one after the other: with themselves, then with
 # the band so many places further on.
 STEPS = (0, 1, 3)
+# Weights of a text are summed in so many cells; nodes of a bucket that are held together.
+CELLS, COARSE, BLOCK = 256, 32, 4096
 
 SIGNED = "k1 long, k2 long, size double, bands array<long>"
 
@@ -84,6 +92,39 @@ def sign(texts: pa.Array, weighted: bool, n_bands: int = BANDS, rows: int = ROWS
     return [pa.array(k1), pa.array(k2), pa.array(size), made]
 
 
+def cell_sums(texts: pa.Array, weighted: bool) -> pa.Array:
+    """Weights of each text's shingles summed in cells of their hashes, as half floats rounded up."""
+    owner, hashes, n = shingles(texts)
+    weights = weights_of(n) if weighted else None
+    at = owner * CELLS + (mix(hashes) >> np.uint64(32)).astype(np.int64) % CELLS
+    sums = np.bincount(at, weights=weights, minlength=len(texts) * CELLS).astype(np.float64)
+    with np.errstate(over="ignore"):
+        half = sums.astype(np.float16)
+    half = np.where(half < sums, np.nextafter(half, np.float16(np.inf)), half)
+    return pa.array([row.tobytes() for row in half.reshape(len(texts), CELLS)], pa.binary())
+
+
+def open_pairs(root, block, cells, similar: float):
+    """Places (i, j) of nodes of different classes and, if there are two blocks, of different blocks that
+    the bound by cells leaves open: shared weight is at most the smaller sum of each cell."""
+    order = np.argsort(cells.sum(1), kind="stable")
+    root, block, cells = root[order], block[order], cells[order]
+    coarse, size = cells.reshape(len(cells), COARSE, -1).sum(2), cells.sum(1)
+    across = block.min() < block.max()
+    # Sums were rounded up by a thousandth at most.
+    last = np.searchsorted(size * (similar - 0.002), size, side="right")
+    for i in range(len(order) - 1):
+        test = root[i + 1 : last[i]] != root[i]
+        if across:
+            test &= block[i + 1 : last[i]] != block[i]
+        j = np.flatnonzero(test) + i + 1
+        for sums in (coarse, cells):
+            shared = np.minimum(sums[j], sums[i]).sum(1)
+            j = j[shared * (1 + similar) >= (similar - 0.002) * (size[i] + size[j])]
+        if len(j):
+            yield order[i], order[j]
+
+
 def compare(left: list[str], right: list[str], weighted: bool) -> np.ndarray:
     """Jaccard similarity of each pair of texts, of plain or of weighted shingle sets."""
     unique = {t: i for i, t in enumerate(dict.fromkeys([*left, *right]))}
@@ -195,6 +236,73 @@ def turned(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
 
 
+def mixed_rows(shared: DataFrame, labels: DataFrame):
+    """Rows (bucket, node, root) of the buckets that hold several classes, None where there are none."""
+    now = relabelled(shared.select("bucket", "b", F.col("b").alias("root")), labels, ["root"])
+    mixed = now.groupBy("bucket").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")
+    )
+    mixed = written(mixed.where("lo <> hi").select("bucket", "n"), "mixed-buckets")
+    if mixed.isEmpty():
+        return None
+    inside = checked_join(now, mixed, ["bucket"], spread=["b"])
+    return inside.select("bucket", F.col("b").alias("node"), "root", "n")
+
+
+def rest_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame, similar: float, weighted: bool):
+    """All pairs (a, b) of nodes of different classes that share a bucket and may be similar, None where
+    no bucket holds several classes. A bucket of more than ``BLOCK`` nodes is cut into blocks by a hash,
+    and each two of its blocks are gone through apart, so no group is larger than about two blocks."""
+    inside = mixed_rows(shared, labels)
+    if inside is None:
+        return None
+    inside = written(inside, "mixed-rows")
+    who = written(inside.select("node").distinct(), "rest-nodes")
+    named = checked_join(texts, who, ["node"], "left_semi", spread=["text"])
+    sums = written(
+        per_text(named, "cells binary", lambda t: [cell_sums(t, weighted)], ("node",)), "cell-sums"
+    )
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), parts).cast("int")
+    inside = inside.select("bucket", "node", "root", block.alias("block"), parts.alias("parts"))
+    inside = checked_join(inside, sums, ["node"], spread=["bucket"])
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    rows = inside.withColumn("other", other).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "node", "root", "block", "cells",
+    )
+    # Two blocks meet once; a block meets itself in a group of its own.
+    key = ["bucket", "i", "j"]
+    rows = rows.repartition(*key).sortWithinPartitions(*key)
+
+    def groups(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            keys = np.stack([table.column(c).to_numpy() for c in key], 1)
+            edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            last = edge[-1] if len(edge) else 0
+            yield from (table.slice(a, b - a) for a, b in zip([0, *edge[:-1]], edge, strict=False))
+            held = table.slice(last)
+        if held is not None and held.num_rows:
+            yield held
+
+    def find(batches):
+        for group in groups(batches):
+            node, root, own = (group.column(c).to_numpy() for c in ("node", "root", "block"))
+            if (root == root[0]).all():
+                continue
+            cells = np.frombuffer(b"".join(group.column("cells").to_pylist()), np.float16)
+            cells = cells.reshape(len(node), CELLS).astype(np.float32)
+            for i, j in open_pairs(root, own, cells, similar):
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return rows.mapInArrow(find, "a long, b long").distinct()
+
+
 def crowd_pairs(shared: DataFrame, node: DataFrame, labels: DataFrame, similar: float, step: int):
     """Pairs (a, b) for the nodes that share a bucket with another class, None where there are none.
 
@@ -202,13 +310,10 @@ def crowd_pairs(shared: DataFrame, node: DataFrame, labels: DataFrame, similar:
     every node outside the largest class is compared with that class's representative, and with that of
     the largest class among the others. Twice as many pairs as rows of buckets at most.
     """
-    now = relabelled(shared.select("bucket", "b", F.col("b").alias("root")), labels, ["root"])
-    mixed = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = written(mixed.where("lo <> hi").select("bucket"), "mixed-buckets")
-    if mixed.isEmpty():
+    inside = mixed_rows(shared, labels)
+    if inside is None:
         return None
-    inside = checked_join(now, mixed, ["bucket"], "left_semi", spread=["b"])
-    who = written(inside.select(F.col("b").alias("node"), "root").distinct(), "mixed-nodes")
+    who = written(inside.select("node", "root").distinct(), "mixed-nodes")
     bands = checked_join(node.select("node", "size", "bands"), who, ["node"], spread=["size"])
     key = F.col("x.first")
     if step:
@@ -305,8 +410,11 @@ def near_duplicates(
     found = written(verified(two, texts, similar, weighted), "found")
     links, labels = links.unionByName(found), components(found, labels)
 
-    for step in STEPS:
-        pairs = crowd_pairs(shared, node, labels, similar, step)
+    for step in [*STEPS, None]:
+        if step is None:
+            pairs = rest_pairs(shared, texts, labels, similar, weighted)
+        else:
+            pairs = crowd_pairs(shared, node, labels, similar, step)
         if pairs is None:
             break
         known = tried.unionByName(turned(tried))
