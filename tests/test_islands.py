@@ -3,6 +3,7 @@ import random
 from conftest import day_of, rows_of
 
 from tickloom.operators.islands import island_ends, islands
+from tickloom.plans.durable import durable
 from tickloom.schema import OUTCOMES
 
 
@@ -53,3 +54,9 @@ def test_runs_over_many_days_equal_the_definition(spark):
             ]
     got = rows_of(island_ends(frame(spark, rows, hour)), "ticker_id", "res_type", "ts_end")
     assert got == sorted(expected, key=repr)
+
+
+def test_runs_of_short_series_take_one_shuffle(spark, capsys):
+    rows = durable(frame(spark, [(t, 0.1, "mx", s * 1000) for t in (1, 2) for s in range(9)]), "short")
+    island_ends(rows).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1

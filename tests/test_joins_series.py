@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.plans.durable import durable
 from tickloom.plans.joins import checked_join, hot_keys, split_hot
-from tickloom.plans.series import numbered, running_total, with_previous
+from tickloom.plans.series import are_short, numbered, running_total, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +60,19 @@ def test_series_columns_cross_slices(spark):
         assert r.before == (r.id - 2 if r.id >= 2 else None)
     for r in running_total(df, ["k"], "s", ["id"], "one", "total").collect():
         assert r.total == r.id // 2 + 1
+
+
+def test_whole_series_give_what_slices_give(spark):
+    rows = [(k, i // 3, i) for k in (1, 2, None) for i in range(20)] + [(1, None, 99)]
+    df = durable(spark.createDataFrame(rows, "k long, s long, id long"), "whole-series")
+    assert are_short(df, ["k"], 21) and not are_short(df, ["k"], 20)
+    assert are_short(df.limit(0), ["k"], 0)
+    for make in (
+        lambda whole: numbered(df, ["k"], "s", [F.col("id")], whole=whole),
+        lambda whole: with_previous(df, ["k"], "s", ["id"], "id", "out", whole),
+        lambda whole: running_total(df, ["k"], "s", ["id"], "id", "out", whole),
+    ):
+        assert rows_of(make(True), "k", "s", "id", make(True).columns[-1]) == rows_of(
+            make(False), "k", "s", "id", make(False).columns[-1]
+        )
+        assert make(True).schema[-1].dataType == make(False).schema[-1].dataType

@@ -17,7 +17,7 @@ from ..functions.times import utc_day
 from ..plans.days import of_days
 from ..plans.durable import durable
 from ..plans.joins import checked_join
-from ..plans.series import numbered
+from ..plans.series import are_short, numbered
 from ..schema import FORM_PROPS, FORMS, SERIES
 
 ROLES = ("acf_05_bws", "acf_1_bws", "acf_2_bws")
@@ -119,14 +119,29 @@ def _slice_ms(ticks: DataFrame, slice_rows: int) -> int:
 
 
 def with_lags(
-    ticks: DataFrame, lags: list[int], block: int = BLOCK, slice_rows: int = SLICE_ROWS
+    ticks: DataFrame,
+    lags: list[int],
+    block: int = BLOCK,
+    slice_rows: int = SLICE_ROWS,
+    whole: bool = False,
 ) -> DataFrame:
     """Ticks with, for each lag k, the ask and time of the tick k positions before it in its
     instrument (``ask_k``, ``ms_k``), null before the start.
 
     Ticks are numbered in slices, cut into blocks of equal size by number, and each block gets the
-    last ticks of the block before it. Blocks are bounded whatever the instrument's share.
+    last ticks of the block before it. Blocks are bounded whatever the instrument's share. ``whole``
+    says that no instrument has more ticks than a block: then each is looked along as it is.
     """
+    if whole:
+        # Ticks of one millisecond come newest first, as they are stored.
+        order = [F.col("db_tsunx"), F.col("ts").desc()]
+        along = Window.partitionBy("ticker_id").orderBy(*order)
+        timed = ticks.where(F.col("db_tsunx").isNotNull())
+        return numbered(timed, ["ticker_id"], "db_tsunx", order[1:], whole=True).select(
+            "*",
+            *(F.lag("ask", k).over(along).alias(f"ask_{k}") for k in lags),
+            *(F.lag("db_tsunx", k).over(along).alias(f"ms_{k}") for k in lags),
+        )
     reach = max(lags)
     block = max(block, reach)
     numbers = numbered(
@@ -318,7 +333,11 @@ def window_features(
         **limits,
     }
     in_buckets = _in_buckets(windows, bucket_ms)
-    slim = of_days(ticks, _days_of_buckets(in_buckets, bucket_ms)).select(
+    read = of_days(ticks, _days_of_buckets(in_buckets, bucket_ms))
+    whole = are_short(read, ["ticker_id"], min(block, slice_rows))
+    if whole:  # no (instrument, bucket) can be hot
+        limits = {"big_at_most": min(block, slice_rows), **limits}
+    slim = read.select(
         "ticker_id",
         "ts",
         "db_tsunx",
@@ -329,7 +348,7 @@ def window_features(
     slim = checked_join(
         slim, touched, ["ticker_id", "bucket"], "left_semi", spread=["db_tsunx", "ts"], **limits
     )
-    lagged = durable(with_lags(slim, wanted, block, slice_rows), "lagged-ticks")
+    lagged = durable(with_lags(slim, wanted, block, slice_rows, whole), "lagged-ticks")
     first = durable(
         match_windows(lagged, windows, bucket_ms, **limits)
         .groupBy(*_WINDOW, "from_ms")

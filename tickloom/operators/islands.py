@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import whole_seconds
 from ..plans.durable import durable
-from ..plans.series import running_total, with_previous
+from ..plans.series import are_short, running_total, with_previous
 from ..schema import SERIES
 
 WAYS = ["mx", "mn"]
@@ -20,13 +20,18 @@ def islands(outcomes: DataFrame, koeff: int = 2) -> DataFrame:
     """
     usable = outcomes.where(F.col("res_type").isin(*WAYS))
     gap = whole_seconds(F.col("ts_end") - F.col("_before"))
-    starts = with_previous(usable, _RUN, "ddate", ["ts_end"], "ts_end", "_before").withColumn(
+    whole = are_short(usable, _RUN)
+    starts = with_previous(
+        usable, _RUN, "ddate", ["ts_end"], "ts_end", "_before", whole
+    ).withColumn(
         "_new",
         (F.col("_before").isNull() | (gap >= F.col("bar_width_sec") * koeff)).cast("long"),
     )
-    return running_total(
-        durable(starts, "run-starts"), _RUN, "ddate", ["ts_end"], "_new", "grp"
-    ).drop("_before", "_new")
+    if not whole:
+        starts = durable(starts, "run-starts")
+    return running_total(starts, _RUN, "ddate", ["ts_end"], "_new", "grp", whole).drop(
+        "_before", "_new"
+    )
 
 
 def island_ends(outcomes: DataFrame, koeff: int = 2) -> DataFrame:

@@ -3,12 +3,38 @@
 A series (one ``keys`` value) is cut into slices that follow its order, e.g. calendar days.
 Rows are windowed inside their slice; one summary row per slice carries positions and totals
 across. The summary window holds a series' slices, never its rows.
+
+Where no series has more than ``WHOLE_ROWS`` rows (``are_short``), slices would only repeat the rows:
+with ``whole`` each series is windowed as it is, in one shuffle.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+WHOLE_ROWS = 500_000
+
+
+def longest(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the longest series."""
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return rows.agg(F.max("_n")).first()[0] or 0
+
+
+def are_short(df: DataFrame, keys: list[str], rows: int = WHOLE_ROWS) -> bool:
+    """No series has more than ``rows`` rows."""
+    return longest(df, keys) <= rows
+
+
+def _whole(df, keys, slice_col, order, out, value) -> DataFrame:
+    """``value`` of a series' window as column ``out``. Rows without a series or slice get no place, but
+    those without a slice come before the others, as in the summary of slices."""
+    for c in keys:
+        df = df.where(F.col(c).isNotNull())
+    along = Window.partitionBy(*keys).orderBy(slice_col, *order)
+    return df.withColumn(out, value(along)).where(F.col(slice_col).isNotNull())
+
+
 def _before(keys, slice_col):
     return (
         Window.partitionBy(*keys).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -16,9 +42,18 @@ def _before(keys, slice_col):
 
 
 def numbered(
-    df: DataFrame, keys: list[str], slice_col: str, order: list[Column], out: str = "seq"
+    df: DataFrame,
+    keys: list[str],
+    slice_col: str,
+    order: list[Column],
+    out: str = "seq",
+    whole: bool = False,
 ) -> DataFrame:
     """0-based position of each row in its series."""
+    if whole:
+        return _whole(
+            df, keys, slice_col, order, out, lambda w: F.row_number().over(w).cast("long") - 1
+        )
     starts = (
         df.groupBy(*keys, slice_col)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -40,8 +75,11 @@ def with_previous(
     order: list[str],
     value: str,
     out: str,
+    whole: bool = False,
 ) -> DataFrame:
     """Value of the row before, across slice borders; null on the first row of a series."""
+    if whole:
+        return _whole(df, keys, slice_col, order, out, F.lag(value).over)
     last = (
         df.groupBy(*keys, slice_col)
         .agg(F.max_by(value, F.struct(*order)).alias("_last"))
@@ -65,8 +103,14 @@ def running_total(
     order: list[str],
     value: str,
     out: str,
+    whole: bool = False,
 ) -> DataFrame:
     """Sum of ``value`` over the rows up to and including this one."""
+    if whole:
+        so_far = (Window.unboundedPreceding, Window.currentRow)
+        return _whole(
+            df, keys, slice_col, order, out, lambda w: F.sum(value).over(w.rowsBetween(*so_far))
+        )
     carried = (
         df.groupBy(*keys, slice_col)
         .agg(F.sum(value).alias("_sum"))
