@@ -7,9 +7,10 @@ import pytest
 from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
-from tickloom.operators import opensearch
+from tickloom.operators import opensearch, pricecells
 from tickloom.operators.outcomes import first_hits, resolved
 from tickloom.plans import jobs
+from tickloom.plans.durable import durable
 from tickloom.schema import BARS, OPEN_SEARCHES, OUTCOMES
 from tickloom.sinks import tables as sinks
 
@@ -129,3 +130,20 @@ def test_no_bars_and_no_open_searches(spark):
     found, left = opensearch.outcomes_resumed(empty, spark.createDataFrame([], OPEN_SEARCHES), [0.01])
     assert found.count() == left.count() == 0
     assert found.columns == OUTCOMES.names and left.columns == OPEN_SEARCHES.names
+
+
+def test_open_searches_go_down_the_tree(spark, monkeypatch):
+    """Short series answer open searches from one sibling list, without price cells of any level."""
+
+    def refused(*_):
+        raise AssertionError("price cells")
+
+    monkeypatch.setattr(pricecells, "_search_blocks", refused)
+    rows = [bar(1, 1, 0, 1.0), bar(1, 1, 1, 1.004), bar(1, 2, 0, 1.0101, 0.001), bar(2, 1, 0, 5.0)]
+    none = spark.createDataFrame([], OPEN_SEARCHES)
+    found, left = opensearch.outcomes_resumed(spark.createDataFrame(rows[:2], BARS), none, [0.01])
+    left = durable(left, "left")
+    newer = spark.createDataFrame(rows[2:], BARS)
+    more, still = opensearch.outcomes_resumed(newer, left, [0.01])
+    assert rows_of(found.unionByName(more)) == one_run(spark, rows, [0.01])
+    assert len(rows_of(found.unionByName(more))) == 1 and still.count() == 3

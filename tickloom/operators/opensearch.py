@@ -2,9 +2,9 @@
 
 The last bar of a series has nothing after it, so its searches are always open: the open searches also
 say how far each (series, threshold) has been searched. A run searches the newer bars among themselves,
-and asks for every open search of before which newer bar is the first to hold one of its targets. That
-is the same match on price cells as for far answers, with the newer bars as the only candidates; open
-searches with equal targets ask once. Bars of earlier runs are not read, and a bar that never reaches
+and asks for every open search of before which newer bar is the first to hold one of its targets. Both
+go down the same tree of price hulls, with the newer bars as the only candidates; open searches with
+equal targets ask once. Bars of earlier runs are not read, and a bar that never reaches
 a target costs its one row.
 """
 
@@ -13,9 +13,18 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from ..plans.joins import HOT_ROWS, SMALL_ROWS, checked_join
+from ..plans.series import longest
 from ..schema import OPEN_SEARCHES, OUTCOMES, SERIES
-from .outcomes import first_hits, numbered_bars, outcome_label, resolved, target_prices
-from .pricecells import next_holding_bar
+from .outcomes import (
+    Tree,
+    hits_of,
+    numbered_bars,
+    outcome_label,
+    resolved,
+    searched,
+    series_tree,
+    target_prices,
+)
 
 _PAIR = [*SERIES, "log_oe"]
 _TARGETS = [*_PAIR, "up", "down"]
@@ -77,12 +86,11 @@ def outcomes_resumed(
     reached = durable(series_searched_to(marks, wanted), "series-searched-to")
     newer = durable(_after(bars, reached, SERIES, **limits), "newer-bars")
 
-    hits = durable(
-        _after(first_hits(newer, wanted, hot_rows=hot_rows), marks, _PAIR, **limits), "newer-hits"
-    )
-    series = durable(numbered_bars(newer), "numbered-newer")
+    tree = series_tree(durable(numbered_bars(newer), "numbered-newer"))
+    hits = hits_of(tree, wanted, hot_rows)
+    hits = durable(_after(hits, marks, _PAIR, **limits, big_at_most=tree.longest), "newer-hits")
     old = open_searches.where(F.col("log_oe").isin(wanted))
-    answered = durable(_answered(old, series, marks, limits), "answered")
+    answered = durable(_answered(old, tree, marks, limits), "answered")
 
     found = resolved(hits).unionByName(resolved(answered))
     unresolved = hits.where(F.col("ts_end_res").isNull()).withColumns(target_prices())
@@ -94,8 +102,10 @@ def outcomes_resumed(
     return found.select(*OUTCOMES.names), left
 
 
-def _answered(old: DataFrame, series: DataFrame, marks: DataFrame, limits: dict) -> DataFrame:
-    """Every open search with the first bar of ``series`` that holds one of its targets, if any."""
+def _answered(old: DataFrame, tree: Tree, marks: DataFrame, limits: dict) -> DataFrame:
+    """Every open search with the first bar of the tree that holds one of its targets, if any."""
+    series, most = tree.series, longest(old, SERIES)
+    limits = {**limits, "big_at_most": most}
     # Where a threshold is ahead of others of its series, some newer bars were met before.
     at = series.select(*SERIES, F.struct("ddate", "ts_end").alias("last"), "seq")
     begin = marks.join(at, [*SERIES, "last"], "left").select(
@@ -107,7 +117,7 @@ def _answered(old: DataFrame, series: DataFrame, marks: DataFrame, limits: dict)
         old.select(*_TARGETS).distinct(), active, SERIES, "left_semi", spread=["up", "down"], **limits
     )
     asked = checked_join(asked, begin, _PAIR, spread=["up", "down"], **limits)
-    found = next_holding_bar(durable(asked, "asked"), series, hot_rows=limits["hot_rows"])
+    found = searched(durable(asked, "asked"), tree, most, limits["hot_rows"])
     hit = series.select(
         *SERIES, F.col("seq").alias("hit_seq"), F.col("ts_end").alias("ts_end_res"),
         F.col("ddate").alias("ddate_res"), F.col("c").alias("c_res"), "low", "high",

@@ -11,6 +11,7 @@ bars are single prices), the searches still open after a fixed number of rounds
 on price cells instead.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from ..functions.numeric import half_up
 from ..functions.times import whole_seconds
 from ..plans.durable import durable
 from ..plans.joins import HOT_ROWS, checked_join, split_hot
-from ..plans.series import numbered
+from ..plans.series import are_short, numbered
 from ..schema import OUTCOMES, SERIES
 from .pricecells import next_holding_bar
 
@@ -85,8 +86,9 @@ def numbered_bars(bars: DataFrame, order: str = "stored") -> DataFrame:
     )
     if order == "grid":
         slim = slim.withColumn("_slice", F.floor(F.col("ts_begin") / 86_400_000))
-        return numbered(slim, SERIES, "_slice", [F.col(c) for c in within]).drop("_slice")
-    return numbered(slim, SERIES, day, [F.col(c) for c in within])
+        day = "_slice"
+    order_by, whole = [F.col(c) for c in within], are_short(bars, SERIES)
+    return numbered(slim, SERIES, day, order_by, whole=whole).drop("_slice")
 
 
 def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFrame, int]:
@@ -119,7 +121,8 @@ def _sibling_lists(bars: DataFrame, fanout: int, longest: int) -> tuple[DataFram
 
 
 def _advance(open_searches, lists, fanout, open_rows, hot_rows) -> DataFrame:
-    """One round: look at the siblings from the cursor on and move down, up, or finish.
+    """One round: look at the siblings from the cursor on and move down, up, or finish. ``open_rows`` is
+    the most searches of one series.
 
     A finished search has level -1 and ``hit_seq``; one that went past the top found nothing.
     """
@@ -127,7 +130,7 @@ def _advance(open_searches, lists, fanout, open_rows, hot_rows) -> DataFrame:
     on = _NODE
     if open_rows > hot_rows:  # otherwise no list can be wanted by more searches than that
         searches, lists = split_hot(
-            searches, lists, _NODE, [*SERIES, "seq", "log_oe"], hot_rows
+            searches, lists, _NODE, [*SERIES, "seq", "log_oe", "up", "down"], hot_rows
         )
         on = [*_NODE, "_part"]
     at = F.col("at")
@@ -167,39 +170,75 @@ def first_hits(
     ``max_rounds`` of the tree search (by default enough to climb to the top, down again and up
     once more) come before the price cells take over.
     """
-    if any(t < 0 for t in thresholds):
-        raise ValueError("thresholds are sizes of a move and cannot be negative")
     series = durable(numbered_bars(bars, order), "numbered-bars")
+    return hits_of(series_tree(series, fanout), thresholds, hot_rows, max_rounds)
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Numbered bars, the sibling lists above them, the top level and the length of the longest series."""
+
+    series: DataFrame
+    lists: DataFrame
+    top: int
+    fanout: int
+    longest: int
+    bars: int
+
+
+def series_tree(series: DataFrame, fanout: int = FANOUT) -> Tree:
+    """The tree of price hulls over written, numbered bars."""
     counts = series.agg(F.max("seq").alias("m"), F.count(F.lit(1)).alias("n")).first()
     longest = (counts["m"] or 0) + 1
-    open_rows = counts["n"] * len(thresholds)
     lists, top = _sibling_lists(series, fanout, longest)
     if top > 0:
         lists = durable(lists, "sibling-lists")
-    searches = with_targets(series, thresholds).select(
-        *_SEARCH, F.lit(0).alias("level"), (F.col("seq") + 1).alias("cursor")
+    return Tree(series, lists, top, fanout, longest, counts["n"])
+
+
+def hits_of(
+    tree: Tree, thresholds: list[float], hot_rows: int = HOT_ROWS, max_rounds: int | None = None
+) -> DataFrame:
+    """``first_hits`` of bars that are numbered already."""
+    if any(t < 0 for t in thresholds):
+        raise ValueError("thresholds are sizes of a move and cannot be negative")
+    most = tree.longest * len(thresholds)
+    found = searched(
+        with_targets(tree.series, thresholds).select(*_SEARCH), tree, most, hot_rows, max_rounds
     )
+    return _with_hit_bars(with_targets(tree.series, thresholds), found, tree.series, hot_rows, most)
+
+
+def searched(
+    searches: DataFrame, tree: Tree, most: int, hot_rows: int = HOT_ROWS, max_rounds: int | None = None
+) -> DataFrame:
+    """Searches with the number ``hit_seq`` of the first bar after ``seq`` that holds a target; those
+    without such a bar are left out. A series has at most ``most`` searches."""
+    top = tree.top
     if max_rounds is None:
         max_rounds = 3 * top + 2
+    searches = searches.select(
+        *_SEARCH, F.lit(0).alias("level"), (F.col("seq") + 1).alias("cursor")
+    )
+    open_rows = tree.bars
     found = [searches.limit(0).select(*_SEARCH, F.col("seq").alias("hit_seq"))]
     for _ in range(max_rounds):
         if open_rows == 0:
             break
         state = durable(
-            _advance(searches, lists, fanout, open_rows, hot_rows), "search-round"
+            _advance(searches, tree.lists, tree.fanout, most, hot_rows), "search-round"
         )
         found.append(state.where(F.col("level") < 0).select(*_SEARCH, "hit_seq"))
         searches = state.where(F.col("level").between(0, top)).drop("hit_seq")
         open_rows = 0 if top == 0 else searches.count()
+        most = min(most, open_rows)
     if open_rows:
-        far = durable(next_holding_bar(searches, series, hot_rows=hot_rows), "cell-hits")
+        far = durable(next_holding_bar(searches, tree.series, hot_rows=hot_rows), "cell-hits")
         found.append(far.select(*_SEARCH, "hit_seq"))
-    found = reduce(DataFrame.unionByName, found)
-    pair_rows = counts["n"] * len(thresholds)
-    return _with_hit_bars(with_targets(series, thresholds), found, series, hot_rows, pair_rows)
+    return reduce(DataFrame.unionByName, found)
 
 
-def _with_hit_bars(pairs, found, series, hot_rows, pair_rows) -> DataFrame:
+def _with_hit_bars(pairs, found, series, hot_rows, most) -> DataFrame:
     """All (bar, threshold) pairs with the bar found for them, and the label."""
     hit = series.select(
         *SERIES,
@@ -218,7 +257,7 @@ def _with_hit_bars(pairs, found, series, hot_rows, pair_rows) -> DataFrame:
         [*SERIES, "hit_seq"],
         spread=key[2:],
         hot_rows=hot_rows,
-        big_at_most=pair_rows,
+        big_at_most=most,
     )
     return pairs.join(answers, key, "left").select(
         *SERIES,
