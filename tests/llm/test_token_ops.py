@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tickloom.llm import align, bytebpe, prefixes, queries
+from tickloom.llm import align, bytebpe, prefixes, pretokens, queries, tokenfiles
 from tickloom.llm.perfect import PerfectHash, bit_levels, packed, unpacked
 
 RANKS, PATTERN = queries.RANKS, public_tokenizers.PATTERN
@@ -243,3 +244,54 @@ def test_hash_of_ids_over_many_runs(spark, monkeypatch):
     got = {r.depth: r.ends_sha256 for r in prefixes.ids_sha256(members).collect()}
     want = {1: ",".join(map(str, ids)), 2: "8"}
     assert got == {d: hashlib.sha256(x.encode()).hexdigest() for d, x in want.items()}
+
+
+_PLAIN_CUT = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ɏ0-9]+|\s+(?!\S)|\s+"
+)
+
+
+def _cut_texts():
+    deal = random.Random(5)
+    kinds = "abstmdrelvSTÀéɏ 19.,<'''  \n\t", "abstrelÀé×÷ɐª²  \n\r\x0b\0'' 19.<|>{~\x7f日"
+    words = ("", " ", "it's", "''s", "'s's", "x 's", "we'll've", "a" * 40 + " " + "a" * 41, "\n \n", "a  ")
+    return [*words, *("".join(deal.choices(kinds[i % 4 == 0], k=i % 23)) for i in range(4000))]
+
+
+def test_pretokens_are_those_of_the_pattern(monkeypatch):
+    texts = _cut_texts()
+    covered = pretokens.covered([x.encode() for x in texts]).tolist()
+    assert covered == [not re.search("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]", x) for x in texts]
+    texts = [x for x, c in zip(texts, covered, strict=True) if c]
+
+    def cut():
+        cuts = pretokens.Cuts([x.encode() for x in texts])
+        ends = cuts.first[1:]
+        assert len(set(cuts.pieces)) == len(cuts.pieces)
+        return [
+            [cuts.pieces[k].decode() for k in cuts.code[a:b]]
+            for a, b in zip(cuts.first, ends, strict=False)
+        ]
+
+    plain = [re.findall(_PLAIN_CUT, x) for x in texts]
+    assert cut() == plain
+    # different pre-tokens of one hash are told apart
+    monkeypatch.setattr(pretokens, "_hashes", lambda words, n, size: size.astype("u8") % 2)
+    assert cut() == plain
+
+
+def test_remembered_ids_are_asked_once_and_bounded():
+    asked = []
+
+    def learn(new):
+        asked.extend(new)
+        return {x: x * 4 for x in new}
+
+    kept = pretokens.Remembered(learn, 8, 3)
+    for _ in range(2):
+        assert kept.ids([b"a", b"b", b"long"]) == [b"aaaa", b"bbbb", b"long" * 4]
+    assert asked == [b"a", b"b", b"long", b"long"]
+    for i in range(50):
+        kept.ids([b"%d" % i, b"a"])
+        assert len(kept.known) + len(kept.before) <= 12
+    assert asked.count(b"a") == 1

@@ -12,7 +12,6 @@ Parquet lets every store that Spark writes hold the bytes, with Spark's commit f
 import functools
 import itertools
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
 from .common import flat, pieces, small_batches, written
+from .pretokens import Cuts, Remembered, covered
 
 # Spark runs the tasks side by side; the tokenizer starts no threads of its own.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -31,16 +31,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 END_ID = 0
 # A block closes after so many tokens (a longer document has a block of its own).
 BLOCK_TOKENS = 1 << 14
-# Distinct pre-tokens whose ids a worker remembers, in two generations of half as many.
-REMEMBERED = 1_000_000
-
-# Texts of these characters only are cut into pre-tokens here, by the vocabulary's published
-# pattern written out for them; all others go through the tokenizer whole.
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_OTHER_TEXT = re.compile(f"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]|<\\|")
-_PRE_TOKEN = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s{_LETTER}0-9]+|\\s+(?!\\S)|\\s+"
-)
+# Distinct pre-tokens whose ids a worker remembers, in two generations of half as many; longer ones
+# are not kept. About 200 bytes each.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64
 
 
 @functools.lru_cache(2)
@@ -62,8 +55,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.remembered = Remembered(self._learn, REMEMBERED, REMEMBERED_BYTES)
         names = self.tokenizer.get_vocab()
         self.after_space = np.zeros(max(names.values()) + 1, bool)
         self.after_space[[i for name, i in names.items() if name.startswith("Ġ")]] = True
@@ -74,26 +66,23 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        other = [bool(_OTHER_TEXT.search(x)) for x in texts]
-        cuts = [None if o else _PRE_TOKEN.findall(x) for o, x in zip(other, texts, strict=True)]
-        if len(self.known) > REMEMBERED // 2:
-            self.before, self.known = self.known, {}
-        missing = set().union(*filter(None, cuts)).difference(self.known)
-        for x in missing.intersection(self.before):
-            self.known[x] = self.before[x]
-        self._learn(missing.difference(self.before))
-        ids = self.known.__getitem__
-        return [
-            self._plain([x])[0] if cut is None else b"".join(map(ids, cut))
-            for x, cut in zip(texts, cuts, strict=True)
-        ]
-
-    def _learn(self, pieces: set[str]) -> None:
+        """Texts that ``pretokens`` covers are cut there; all others, and those that may hold a special
+        token's string, go through the tokenizer whole."""
+        raw = [x.encode() for x in texts]
+        cut = covered(raw).tolist()
+        cut = [c and b"<|" not in x for c, x in zip(cut, raw, strict=True)]
+        cuts = Cuts(list(itertools.compress(raw, cut)))
+        coded = iter(cuts.coded(self.remembered.ids(cuts.pieces)))
+        return [next(coded) if c else self._plain([x])[0] for x, c in zip(texts, cut, strict=True)]
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ask for many pieces at once: words with their space stand side by side and begin at the
         ids with a space, words without one on lines of their own; others are asked for singly."""
+        pieces = [x.decode() for x in new]
         spaced = [x for x in pieces if x[0] == " " and x[1:].isalpha()]
         bare = [x for x in pieces if x.isalpha()]
-        rest = pieces.difference(spaced, bare)
+        rest = set(pieces).difference(spaced, bare)
+        found: dict[str, bytes] = {}
         for words, between in ((spaced, ""), (bare, "\n")):
             if not words:
                 continue
@@ -107,11 +96,12 @@ class Encoder:
                 end = np.append(begin[1:], len(ids))
             if len(begin) == len(words):
                 cut = zip(words, (4 * begin).tolist(), (4 * end).tolist(), strict=True)
-                self.known.update((x, raw[b:e]) for x, b, e in cut)
+                found.update((x, raw[b:e]) for x, b, e in cut)
             else:
                 rest |= set(words)
         single = list(rest)
-        self.known.update(zip(single, self._plain(single), strict=True))
+        found.update(zip(single, self._plain(single), strict=True))
+        return {x: found[piece] for x, piece in zip(new, pieces, strict=True)}
 
 
 @functools.lru_cache(2)
