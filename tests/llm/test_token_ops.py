@@ -280,6 +280,21 @@ def test_pretokens_are_those_of_the_pattern(monkeypatch):
     assert cut() == plain
 
 
+def test_both_encoders_agree_with_their_libraries_on_cut_texts():
+    texts = [*_cut_texts(), "<|endoftext|> a", "a <| b"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    coded = tokenfiles.Encoder(path).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in coded] == [e.ids for e in whole]
+
+    ranks, pattern = bytebpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    library = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    cuts = bytebpe.compiled(pattern), bytebpe.compiled(pattern, bytebpe.NARROW)
+    encoder = bytebpe.Encoder(bytebpe.Vocabulary(ranks), *cuts, published=True)
+    coded = encoder.encode(texts)
+    assert [np.frombuffer(x, "<i4").tolist() for x in coded] == [library.encode_ordinary(x) for x in texts]
+
+
 def test_remembered_ids_are_asked_once_and_bounded():
     asked = []
 

@@ -20,16 +20,21 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import pretokens
 from .common import per_text, small_batches
 from .perfect import PerfectHash
+from .pretokens import Cuts, Remembered, covered
 from .words import mix
 
 # Pre-tokens a worker remembers, in two generations of half as many; longer ones are not kept.
-REMEMBERED, REMEMBERED_CHARS = 600_000, 64
+REMEMBERED, REMEMBERED_BYTES = 600_000, 64
 # Texts of code points up to this one are cut with classes that end there.
 NARROW = 0x24F
 _WIDE = re.compile(f"[^\\x00-{chr(NARROW)}]").search
 _ODD = 0x9E3779B97F4A7C15
+# A waiting pair is one number: its rank, and below that its place.
+_PLACE_BITS = 40
+_PLACE_MASK = (1 << _PLACE_BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -119,29 +124,31 @@ class Vocabulary:
         """Ids by joining neighbours, the lowest rank first, the leftmost of equal ones."""
         n = len(item)
         ranks = self.ranks.get
-        end = list(range(1, n + 1))  # of the part that begins here; 0 once it is joined to another
+        end = list(range(1, n + 1))  # of the part that begins here
         before = list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            rank = ranks(item[i : i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 1, i + 2))
+        joined = [ranks(item[i : i + 2], -1) for i in range(n - 1)]  # rank of a part with the next one
+        joined.append(-1)
+        heap = [rank << _PLACE_BITS | i for i, rank in enumerate(joined) if rank >= 0]
         heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, middle, last = heapq.heappop(heap)
-            if end[i] != middle or end[middle] != last:
+            first = pop(heap)
+            i = first & _PLACE_MASK
+            if joined[i] != first >> _PLACE_BITS:
                 continue
-            end[i], end[middle] = last, 0
+            middle = end[i]
+            end[i] = last = end[middle]
+            joined[middle] = joined[i] = -1
             if last < n:
                 before[last] = i
-                rank = ranks(item[i : end[last]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, last, end[last]))
+                joined[i] = rank = ranks(item[i : end[last]], -1)
+                if rank >= 0:
+                    push(heap, rank << _PLACE_BITS | i)
             if i:
                 j = before[i]
-                rank = ranks(item[j:last])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, j, i, last))
+                joined[j] = rank = ranks(item[j:last], -1)
+                if rank >= 0:
+                    push(heap, rank << _PLACE_BITS | j)
         out, i = [], 0
         while i < n:
             out.append(self.ranks[item[i : end[i]]])
@@ -152,38 +159,37 @@ class Vocabulary:
 class Encoder:
     """Ids of whole texts; those of a distinct pre-token are found once and remembered."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, narrow: str):
-        """``narrow`` is the pattern for texts of code points up to ``NARROW``: shorter classes."""
+    def __init__(self, vocabulary: Vocabulary, pattern: str, narrow: str, published: bool = False):
+        """``narrow`` is the pattern for texts of code points up to ``NARROW``: shorter classes.
+        ``published``: the pattern is that of ``pretokens``, which cuts the texts that it covers."""
+        self.published = published
         self.vocabulary = vocabulary
         self.wide, self.narrow = re.compile(pattern).findall, re.compile(narrow).findall
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.remembered = Remembered(self.learn, REMEMBERED, REMEMBERED_BYTES)
 
-    def learn(self, new: list[str]) -> None:
-        items = [x.encode() for x in new]
+    def learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         merged = self.vocabulary.merged
         ids = [
             [whole] if whole >= 0 else merged(x)
-            for x, whole in zip(items, self.vocabulary.whole(items), strict=True)
+            for x, whole in zip(new, self.vocabulary.whole(new), strict=True)
         ]
         raw = np.array(list(itertools.chain.from_iterable(ids)), "<i4").tobytes()
-        ends = list(itertools.accumulate((4 * len(x) for x in ids), initial=0))
-        self.known.update(zip(new, (raw[a:b] for a, b in itertools.pairwise(ends)), strict=True))
+        ends = itertools.accumulate((4 * len(x) for x in ids), initial=0)
+        return dict(zip(new, (raw[a:b] for a, b in itertools.pairwise(ends)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED // 2:
-            self.before, self.known = self.known, {}
-        cuts = [(self.wide if _WIDE(x) else self.narrow)(x) for x in texts]
-        missing = set().union(*cuts).difference(self.known)
-        for x in missing.intersection(self.before):
-            self.known[x] = self.before[x]
-        self.learn(list(missing.difference(self.before)))
-        out = [b"".join(map(self.known.__getitem__, cut)) for cut in cuts]
-        for x in missing:
-            if len(x) > REMEMBERED_CHARS:
-                del self.known[x]
-        return out
+        raw = [x.encode() for x in texts]
+        fast = covered(raw).tolist() if self.published else [False] * len(raw)
+        cuts = Cuts(list(itertools.compress(raw, fast)))
+        coded = iter(cuts.coded(self.remembered.ids(cuts.pieces)))
+        slow = [
+            (self.wide if _WIDE(x) else self.narrow)(x) for x, f in zip(texts, fast, strict=True) if not f
+        ]
+        distinct = list(set().union(*slow))
+        ids = dict(zip(distinct, self.remembered.ids([x.encode() for x in distinct]), strict=True))
+        joined = (b"".join(map(ids.__getitem__, cut)) for cut in slow)
+        return [next(coded) if f else next(joined) for f in fast]
 
 
 # One encoder a worker and broadcast, so that what is remembered outlives a task.
@@ -217,6 +223,7 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, keep=("doc_id",)) -> Data
     """
     small_batches(docs.sparkSession)
     parts = Vocabulary(read_ranks(ranks)), compiled(pattern), compiled(pattern, NARROW)
+    parts = *parts, pattern == pretokens.PATTERN
     shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def encode(texts):
