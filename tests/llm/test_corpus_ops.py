@@ -123,6 +123,24 @@ def test_weighted_near_duplicates_count_repeats(spark):
         assert got.select("class_id").distinct().count() == classes
 
 
+def test_near_duplicates_start_few_jobs(spark, families):
+    """The driver keeps something of every job, stage and scan: tables are not counted once for each join,
+    and the pairs compared so far are read in one scan."""
+    context = spark.sparkContext
+    docs = spark.createDataFrame(families, "doc_id long, text string")
+    context.setJobGroup("near-duplicates", "")
+    try:
+        neardup.near_duplicates(docs)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("near-duplicates")
+    assert 30 < len(jobs) < 310
+    seen = [spark.createDataFrame([(2, 1), (5, 6)], "a long, b long"), spark.createDataFrame([(8, 9)], "a long, b long")]
+    pairs = spark.createDataFrame([(1, 2), (6, 5), (2, 3), (9, 8), (5, 6)], "a long, b long")
+    left = neardup.untried(pairs, seen[0].unionByName(seen[1]))
+    assert [tuple(r) for r in left.collect()] == [(2, 3)]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)]

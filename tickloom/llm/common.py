@@ -15,12 +15,16 @@ from ..session import scratch_dir
 PIECE_BYTES = 1 << 20
 
 
+def written_at(df: DataFrame, label: str) -> str:
+    """Write ``df`` to the shared scratch folder (compact); the path."""
+    path = f"{scratch_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder (compact) and read it back."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written_at(df, label))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

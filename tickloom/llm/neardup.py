@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import checked_join, fits_broadcast
-from .common import per_text, small_batches, written
+from .common import per_text, small_batches, written, written_at
 from .dart import bands, distinct, signatures
 from .words import Words, mix
 
@@ -182,12 +182,14 @@ def verified(pairs: DataFrame, texts: DataFrame, similar: float, weighted: bool)
     return both.select("a", "b", "a_text", "b_text").mapInArrow(check, "a long, b long")
 
 
-def relabelled(rows: DataFrame, labels: DataFrame, columns) -> DataFrame:
-    """Replace node columns by their class; nodes without a row in ``labels`` are their own."""
+def relabelled(rows: DataFrame, labels: DataFrame, columns, **bounds) -> DataFrame:
+    """Replace node columns by their class; nodes without a row in ``labels`` are their own.
+
+    ``bounds`` on the rows of ``labels`` (at_most) and of ``rows`` save the join their counts."""
     for c in columns:
         rows = checked_join(
             rows, labels.select(F.col("node").alias(c), F.col("root").alias("_root")), [c], "left",
-            spread=rows.columns,
+            spread=rows.columns, **bounds,
         )
         rows = rows.withColumn(c, F.coalesce("_root", c)).drop("_root")
     return rows
@@ -196,26 +198,41 @@ def relabelled(rows: DataFrame, labels: DataFrame, columns) -> DataFrame:
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, root): root is the smallest node of the connected component.
 
-    ``labels`` are classes known before. Roots hook onto their smallest neighbour class, then paths
-    are halved; both repeat until no link joins two classes. Each step is a join on written tables.
+    ``labels`` are classes known before.
+    """
+    return grown(links, labels)[0]
+
+
+def grown(links: DataFrame, labels: DataFrame | None = None, most: int | None = None):
+    """``components`` and a bound on its rows; ``most`` is one on the rows of ``labels``.
+
+    Roots hook onto their smallest neighbour class, then paths are halved; both repeat until no link
+    joins two classes. Each step is a join on written tables. A node hooks once in a round, so the
+    links that are left bound the hooks, and no table but the links is counted: each Spark job costs
+    the driver memory, however small its table.
     """
     spark = links.sparkSession
     if labels is None:
-        labels = spark.createDataFrame([], "node long, root long")
+        labels, most = spark.createDataFrame([], "node long, root long"), 0
+    elif most is None:
+        most = labels.count()
     while True:
         links = written(
-            relabelled(links, labels, ["a", "b"]).where("a <> b")
+            relabelled(links, labels, ["a", "b"], at_most=most).where("a <> b")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
             "links",
         )
-        if links.isEmpty():
-            return labels
+        left = links.count()
+        if not left:
+            return labels, most
         hooks = written(
             links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "hooks"
         )
         while True:  # shorten until every hook points at a root
             up = hooks.select(F.col("node").alias("root"), F.col("root").alias("_up"))
-            longer = checked_join(hooks, up, ["root"], "left", spread=["node"])
+            longer = checked_join(
+                hooks, up, ["root"], "left", spread=["node"], at_most=left, big_at_most=left
+            )
             longer = written(
                 longer.select("node", F.coalesce("_up", "root").alias("root"), F.col("_up").alias("_moved")),
                 "hooks",
@@ -223,37 +240,44 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             hooks = longer.select("node", "root")
             if longer.where("_moved is not null").isEmpty():
                 break
-        known = relabelled(labels, hooks, ["root"])
+        known = relabelled(labels, hooks, ["root"], at_most=left, big_at_most=most)
         labels = written(
             known.select("node", "root").unionByName(
                 hooks.join(labels.select("node"), "node", "left_anti")
             ),
             "labels",
         )
+        most += left
+
 
+def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that ``tried`` has neither way round."""
+    ends = [F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")]
+    return pairs.select("a", "b", *ends).join(tried.select(*ends), ["lo", "hi"], "left_anti").select("a", "b")
 
-def turned(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
 
+def mixed_rows(shared: DataFrame, labels: DataFrame, most: int):
+    """Rows (bucket, node, root) of the buckets that hold several classes, None where there are none.
 
-def mixed_rows(shared: DataFrame, labels: DataFrame):
-    """Rows (bucket, node, root) of the buckets that hold several classes, None where there are none."""
-    now = relabelled(shared.select("bucket", "b", F.col("b").alias("root")), labels, ["root"])
+    ``most`` bounds the rows of ``labels``."""
+    now = shared.select("bucket", "b", F.col("b").alias("root"))
+    now = relabelled(now, labels, ["root"], at_most=most)
     mixed = now.groupBy("bucket").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")
     )
     mixed = written(mixed.where("lo <> hi").select("bucket", "n"), "mixed-buckets")
-    if mixed.isEmpty():
+    several = mixed.count()
+    if not several:
         return None
-    inside = checked_join(now, mixed, ["bucket"], spread=["b"])
+    inside = checked_join(now, mixed, ["bucket"], spread=["b"], at_most=several)
     return inside.select("bucket", F.col("b").alias("node"), "root", "n")
 
 
-def rest_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame, similar: float, weighted: bool):
+def rest_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame, most: int, similar: float, weighted: bool):
     """All pairs (a, b) of nodes of different classes that share a bucket and may be similar, None where
     no bucket holds several classes. A bucket of more than ``BLOCK`` nodes is cut into blocks by a hash,
     and each two of its blocks are gone through apart, so no group is larger than about two blocks."""
-    inside = mixed_rows(shared, labels)
+    inside = mixed_rows(shared, labels, most)
     if inside is None:
         return None
     inside = written(inside, "mixed-rows")
@@ -303,14 +327,14 @@ def rest_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame, similar:
     return rows.mapInArrow(find, "a long, b long").distinct()
 
 
-def crowd_pairs(shared: DataFrame, node: DataFrame, labels: DataFrame, similar: float, step: int):
+def crowd_pairs(shared: DataFrame, node: DataFrame, labels: DataFrame, most: int, similar: float, step: int):
     """Pairs (a, b) for the nodes that share a bucket with another class, None where there are none.
 
     Buckets are narrowed to those who also share the band ``step`` further on (0: not narrowed). There
     every node outside the largest class is compared with that class's representative, and with that of
     the largest class among the others. Twice as many pairs as rows of buckets at most.
     """
-    inside = mixed_rows(shared, labels)
+    inside = mixed_rows(shared, labels, most)
     if inside is None:
         return None
     who = written(inside.select("node", "root").distinct(), "mixed-nodes")
@@ -332,12 +356,13 @@ def crowd_pairs(shared: DataFrame, node: DataFrame, labels: DataFrame, similar:
     best = F.max(F.struct("n", "root", "r")).alias("c")
     first = classes.groupBy("key").agg(best, F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     first = written(first, "largest-classes")
-    others = checked_join(rows, first, ["key"], spread=["node"]).where(F.col("root") != F.col("c.root"))
-    others = written(others, "others")
+    keys = first.count()
+    others = checked_join(rows, first, ["key"], spread=["node"], at_most=keys)
+    others = written(others.where(F.col("root") != F.col("c.root")), "others")
     again = others.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.max(order).alias("r"))
     second = again.groupBy("key").agg(best, F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     second = checked_join(
-        others.drop("c"), written(second, "second-classes"), ["key"], spread=["node"]
+        others.drop("c"), written(second, "second-classes"), ["key"], spread=["node"], at_most=keys
     ).where(F.col("root") != F.col("c.root"))
     near = may_be(similar, F.col("size"), F.col("c.r.size"))
     both = others.unionByName(second).where(near)
@@ -371,7 +396,9 @@ def near_duplicates(
     spread = node.select("node", "size", F.explode("bands").alias("bucket"))
     sizes = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = written(sizes, "bucket-sizes")
-    shared = written(checked_join(spread, sizes, ["bucket"], spread=["node"]), "shared-buckets")
+    buckets = sizes.count()
+    shared = checked_join(spread, sizes, ["bucket"], spread=["node"], at_most=buckets)
+    shared = written(shared, "shared-buckets")
     # The node that meets most others is the centre of a bucket: an original rather than a copy.
     degree = shared.groupBy("node").agg(F.sum("n").alias("degree"))
     shared = shared.join(degree, "node")
@@ -380,7 +407,7 @@ def near_duplicates(
     near = may_be(similar, F.col("size"), F.col("c.size"))
     # Rows of shared buckets: a is the centre, b each node.
     shared = written(
-        checked_join(shared, centre, ["bucket"], spread=["node"]).select(
+        checked_join(shared, centre, ["bucket"], spread=["node"], at_most=buckets).select(
             "bucket", (-F.col("c.minus")).alias("a"), F.col("c.degree").alias("a_degree"),
             F.col("node").alias("b"), near.alias("near"),
         ),
@@ -396,34 +423,35 @@ def near_duplicates(
     stars = shared.where("near and a <> b").select("a", "b", "a_degree").distinct()
     best = F.max(F.struct("a_degree", (-F.col("a")).alias("minus"))).alias("x")
     one = stars.groupBy("b").agg(best).select((-F.col("x.minus")).alias("a"), "b")
-    one = written(one, "pairs")
-    links = written(verified(one, texts, similar, weighted), "found")
-    labels = components(links)
+    tried: list[str] = []  # folders of pairs, read together in one scan
+
+    def pairs_in(*paths):
+        return docs.sparkSession.read.schema("a long, b long").parquet(*paths)
+
+    def compared(pairs):
+        tried.append(written_at(pairs, "pairs"))
+        return written(verified(pairs_in(tried[-1]), texts, similar, weighted), "found")
 
-    def apart(pairs, tried):
-        cross = relabelled(pairs.select("a", "b", "a", "b").toDF("a", "b", "x", "y"), labels, ["x", "y"])
-        cross = cross.where("x <> y").select("a", "b")
-        return written(cross.join(tried.unionByName(turned(tried)), ["a", "b"], "left_anti"), "pairs")
+    links = compared(one)
+    labels, most = grown(links)
 
-    two = apart(stars.select("a", "b"), one)
-    tried = one.unionByName(two)
-    found = written(verified(two, texts, similar, weighted), "found")
-    links, labels = links.unionByName(found), components(found, labels)
+    cross = stars.select("a", "b", "a", "b").toDF("a", "b", "x", "y")
+    cross = relabelled(cross, labels, ["x", "y"], at_most=most).where("x <> y").select("a", "b")
+    found = compared(untried(cross, pairs_in(*tried)))
+    links, (labels, most) = links.unionByName(found), grown(found, labels, most)
 
     for step in [*STEPS, None]:
         if step is None:
-            pairs = rest_pairs(shared, texts, labels, similar, weighted)
+            pairs = rest_pairs(shared, texts, labels, most, similar, weighted)
         else:
-            pairs = crowd_pairs(shared, node, labels, similar, step)
+            pairs = crowd_pairs(shared, node, labels, most, similar, step)
         if pairs is None:
             break
-        known = tried.unionByName(turned(tried))
-        pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
-        found = written(verified(pairs, texts, similar, weighted), "found")
-        links, labels = links.unionByName(found), components(found, labels)
-        tried = tried.unionByName(pairs)
+        found = compared(untried(pairs, pairs_in(*tried)))
+        links, (labels, most) = links.unionByName(found), grown(found, labels, most)
 
-    owner = relabelled(node.select("k1", "k2", "node", F.col("node").alias("class_id")), labels, ["class_id"])
+    owner = node.select("k1", "k2", "node", F.col("node").alias("class_id"))
+    owner = relabelled(owner, labels, ["class_id"], at_most=most)
     owner = written(owner, "classes")
     alone = signed.where("size = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("node")
